@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_digests
 from .ngram_join import ngram_jaccard_join
 
 
@@ -17,7 +18,17 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op4_ngram_jaccard_join]
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(_table(spark, sf_dir, "documents"), _vocabulary())
+
+
+_QUERIES = [op4_ngram_jaccard_join, op10_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
