@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encode_digests
+from .lines import drop_frequent_lines
 from .ngram_join import ngram_jaccard_join
+from .packing import pack_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +31,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
-_QUERIES = [op4_ngram_jaccard_join, op10_bpe]
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_frequent_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
+
+
+_QUERIES = [op4_ngram_jaccard_join, op8_line_dedup, op9_packing, op10_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

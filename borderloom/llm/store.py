@@ -40,3 +40,11 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
