@@ -1,0 +1,137 @@
+"""A modified Kneser-Ney model of order 4 over a folded alphabet, for each language.
+
+Code points are folded to 32 symbols: white space (a run is one), a to z, one
+for capitals, one for digits, one for everything outside ASCII, one for
+punctuation of prose and one for other signs.  So an n-gram is a number below
+32 ** 4 and a language's model has at most that many entries, whatever the size
+of the corpus; the counts are of all documents.
+
+A model is stored as sorted hashes of its n-grams of all orders, with the
+logarithm of the interpolated probability of each and the weight its
+continuations take from the lower order.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+from .arrow_text import SPACE, Texts, mix
+
+BITS, ORDER = 5, 4
+SIZE = 1 << BITS
+GRAMS = SIZE**ORDER
+
+SYMBOL = np.full(256, 31, np.uint32)
+SYMBOL[97:123] = np.arange(1, 27)
+SYMBOL[65:91] = 27
+SYMBOL[48:58] = 28
+SYMBOL[0xC0:] = 29
+SYMBOL[list(b".,;:'\"!?()-")] = 30
+SYMBOL[SPACE] = 0
+
+
+def gram_codes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """The 4-gram that ends at each symbol of the texts, and where each text begins among them.
+
+    Before the first symbol of a text stands white space.
+    """
+    data = texts.data
+    space = SPACE[data]
+    keep = (data & 0xC0) != 0x80
+    first = np.zeros(len(data) + 1, bool)
+    first[texts.offsets] = True
+    run = space.copy()
+    run[1:] &= space[:-1]
+    keep &= ~(run & ~first[: len(data)])
+    s = SYMBOL[data[keep]]
+    total = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(keep, out=total[1:])
+    at = total[texts.offsets]
+    codes = s.copy()
+    starts = at[:-1][np.diff(at) > 0]
+    for k in range(1, ORDER):
+        back = np.zeros(len(s), np.uint32)
+        back[k:] = s[: len(s) - k]
+        for j in range(k):
+            edge = starts + j
+            back[edge[edge < len(s)]] = 0
+        # a text shorter than k symbols is followed by another text's start, whose own edges are reset there
+        codes |= back << np.uint32(BITS * k)
+    return codes, at
+
+
+def _discounts(counts: np.ndarray) -> np.ndarray:
+    """Chen and Goodman's D1, D2, D3+ by the counts of counts, each within (0, count)."""
+    n = [0, *(int((counts == k).sum()) for k in range(1, 5))]
+    y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+    d = [0.0] + [k - (k + 1) * y * n[k + 1] / n[k] if n[k] else 0.5 * k for k in range(1, 4)]
+    return np.array([0.0] + [min(max(x, 0.05 * k), 0.95 * k) for k, x in enumerate(d[1:], 1)])
+
+
+def hashes(order: int, codes: np.ndarray) -> np.ndarray:
+    return mix(codes.astype(np.uint64) | np.uint64(order << 40))
+
+
+def build(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes, log probabilities and log back-off weights, from 4-grams and their counts."""
+    c = np.zeros(GRAMS, np.int64)
+    np.add.at(c, codes, counts)
+    tables = [c]
+    for k in range(ORDER - 1, 0, -1):
+        tables.insert(0, (tables[0].reshape(SIZE, SIZE**k) > 0).sum(0))  # how many symbols an n-gram follows
+    lower = np.full(SIZE, 1.0 / SIZE)
+    keys, logp, weight = [], [], {}
+    for order, t in enumerate(tables, 1):
+        rows = t.reshape(-1, SIZE).astype(float)
+        total = rows.sum(1, keepdims=True)
+        d = _discounts(t)[np.minimum(rows, 3).astype(int)]
+        seen = total > 0
+        gamma = np.where(seen, d.sum(1, keepdims=True) / np.where(seen, total, 1), 1.0)
+        below = np.tile(lower, (len(rows) // max(1, len(lower) // SIZE), 1)).reshape(rows.shape) if order > 1 else lower[None, :]
+        p = np.where(seen, (rows - d) / np.where(seen, total, 1), 0) + gamma * below
+        flat = p.ravel()
+        weight[order] = gamma.ravel()
+        # what is only ever a context, such as the start of a text, has a weight to be found
+        found = np.flatnonzero(t if order == ORDER else (t > 0) | (tables[order].reshape(-1, SIZE).sum(1) > 0))
+        keys.append((order, found, np.log(flat[found])))
+        lower = flat
+    all_keys = np.concatenate([hashes(o, x) for o, x, _ in keys])
+    all_logp = np.concatenate([x for _, _, x in keys])
+    # the weight of an n-gram as context is that of the next order's row
+    all_weight = np.concatenate([np.log(weight[o + 1][x]) if o < ORDER else np.zeros(len(x)) for o, x, _ in keys])
+    order = np.argsort(all_keys)
+    return all_keys[order], all_logp[order].astype(np.float32), all_weight[order].astype(np.float32)
+
+
+class Model:
+    """Looks n-grams up in the sorted arrays; what it has looked up stays in a table of GRAMS entries."""
+
+    def __init__(self, keys: np.ndarray, logp: np.ndarray, weight: np.ndarray):
+        self.keys, self.logp, self.weight = keys, logp, weight
+        self.table = np.full(GRAMS, np.nan, np.float32)
+
+    def _at(self, order: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = hashes(order, codes)
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return at, self.keys[at] == h
+
+    def _search(self, order: int, codes: np.ndarray) -> np.ndarray:
+        if not order:
+            return np.full(len(codes), -np.log(SIZE), np.float32)
+        at, found = self._at(order, codes)
+        out = self.logp[at].copy()
+        if not found.all():
+            rest = codes[~found]
+            lower = self._search(order - 1, rest & np.uint32(SIZE ** (order - 1) - 1))
+            context, known = self._at(order - 1, rest >> np.uint32(BITS)) if order > 1 else (np.zeros(len(rest), int), np.zeros(len(rest), bool))
+            out[~found] = lower + np.where(known, self.weight[context], 0)
+        return out
+
+    def scores(self, codes: np.ndarray) -> np.ndarray:
+        """Log probability of each 4-gram's last symbol after the others."""
+        out = self.table[codes]
+        if (new := np.isnan(out)).any():
+            missing = np.unique(codes[new])
+            self.table[missing] = self._search(ORDER, missing)
+            out = self.table[codes]
+        return out

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_digests
+from .gam import quality_scores
 from .lines import drop_frequent_lines
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
+from .quality_rules import BASE, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality_rules(docs).select("doc_id", *BASE, "base_failed", "kept", "log_perplexity", "lower", "upper")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_frequent_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -40,7 +51,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
-_QUERIES = [op4_ngram_jaccard_join, op8_line_dedup, op9_packing, op10_bpe]
+_QUERIES = [op4_ngram_jaccard_join, op5_quality_gam, op7_quality_rules, op8_line_dedup, op9_packing, op10_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
