@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,16 +10,29 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_digests
 from .gam import quality_scores
+from .html_text import extract_main_text
 from .lines import drop_frequent_lines
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
 from .quality_rules import BASE, quality_rules
+from .store import shared_dir
+from .warc import parse_records, read_archive, write_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_archive(_table(spark, sf_dir, "pages"), path)
+    return parse_records(read_archive(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
@@ -51,7 +65,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
-_QUERIES = [op4_ngram_jaccard_join, op5_quality_gam, op7_quality_rules, op8_line_dedup, op9_packing, op10_bpe]
+_QUERIES = [op2_warc, op3_html_text, op4_ngram_jaccard_join, op5_quality_gam, op7_quality_rules, op8_line_dedup, op9_packing, op10_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
