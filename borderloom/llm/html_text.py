@@ -186,16 +186,10 @@ def block_features(found: list[Block]) -> np.ndarray:
 
 # The labelled table: FEATURES of blocks of hand-made pages, and 1 for main text.
 LABELLED = [
-    # an article marked as such: headings, long and very short paragraphs, a linked paragraph
-    (8, 0, 3, 0, 60, 0, 1, 0, 1, 1, 1), (1, 0, 60, 0, 40, 0, 1, 0, 1, 0, 1), (60, 0, 8, 0, 1, 0, 1, 0, 1, 0, 1), (120, 0.05, 40, 0, 90, 0, 1, 0, 1, 0, 1),
-    (40, 0, 1, 0, 0, 0, 1, 0, 1, 0, 1), (12, 0.3, 80, 0, 70, 0.1, 1, 0, 1, 0, 1), (3, 1, 50, 0, 50, 0, 1, 0, 1, 0, 1), (2, 0, 0, 0, 5, 0, 1, 0, 1, 1, 1),
-    (5, 0, 6, 0, 7, 0, 1, 0, 1, 0, 1), (1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1), (400, 0, 3, 0, 4, 0, 1, 0, 1, 0, 1), (6, 0, 1, 1, 60, 0, 1, 0, 1, 1, 1),
-    # furniture marked as such: menus, adverts, notices, forms, comments, footers
-    (1, 1, 1, 1, 1, 1, 0, 1, 1, 0, 0), (2, 1, 0, 0, 2, 1, 0, 1, 1, 0, 0), (9, 0, 1, 1, 8, 0, 0, 1, 1, 0, 0), (80, 0, 60, 0, 50, 0, 0, 1, 1, 0, 0),
-    (30, 0, 8, 0, 30, 0, 0, 1, 1, 0, 0), (12, 0.1, 70, 0, 0, 0, 0, 1, 1, 0, 0), (5, 0, 4, 0, 40, 0, 0, 1, 1, 1, 0), (1, 1, 1, 1, 1, 1, 0, 1, 0, 0, 0),
-    (45, 0, 30, 0, 60, 0, 0, 1, 0, 0, 0), (15, 0, 1, 1, 90, 0, 0, 1, 0, 0, 0), (3, 0, 0, 0, 0, 0, 0, 1, 0, 0, 0), (150, 0, 1, 1, 9, 0, 0, 1, 0, 0, 0),
-    # outside the article of a page that has one
-    (4, 0, 0, 0, 1, 1, 0, 0, 1, 0, 0), (10, 0, 90, 0, 0, 0, 0, 0, 1, 0, 0), (25, 0, 1, 1, 60, 0, 0, 0, 1, 0, 0), (60, 0, 2, 1, 70, 0, 0, 0, 1, 0, 0), (2, 1, 2, 1, 9, 0, 0, 0, 1, 0, 0), (6, 0.5, 6, 0.5, 6, 0.5, 0, 0, 1, 1, 0),
+    # marked blocks of any size between any neighbours: in an article, in furniture on pages with and without one, and outside a page's article
+    *((w, d, p, pd, n, nd, 1, 0, 1, h, 1) for w, d, h in ((1, 0, 0), (3, 1, 0), (8, 0, 1), (14, 0.3, 0), (60, 0.1, 0), (400, 0, 0)) for p, pd, n, nd in ((0, 0, 50, 0), (50, 0, 0, 0), (5, 0, 2, 1))),
+    *((w, d, p, pd, n, nd, 0, 1, has, 0, 0) for w, d in ((1, 1), (5, 0), (15, 0.2), (45, 0), (150, 0)) for p, pd, n, nd in ((1, 1, 1, 1), (60, 0, 60, 0), (40, 0, 0, 0)) for has in (0, 1)),
+    *((w, d, p, pd, n, nd, 0, 0, 1, 0, 0) for w, d in ((2, 1), (4, 0), (25, 0), (90, 0)) for p, pd, n, nd in ((0, 0, 1, 1), (70, 0, 0, 0), (1, 1, 60, 0))),
     # pages without any mark: prose with short paragraphs between it, and link lists
     (60, 0, 10, 0, 50, 0, 0, 0, 0, 0, 1), (30, 0.1, 40, 0, 3, 0, 0, 0, 0, 0, 1), (2, 0, 60, 0, 45, 0, 0, 0, 0, 0, 1), (8, 0, 1, 1, 60, 0, 0, 0, 0, 1, 1), (100, 0.2, 2, 1, 2, 1, 0, 0, 0, 0, 1),
     (18, 0, 30, 0, 20, 0, 0, 0, 0, 0, 1), (5, 0, 40, 0, 30, 0, 0, 0, 0, 1, 1), (25, 0, 0, 0, 0, 0, 0, 0, 0, 0, 1), (12, 0, 25, 0, 0, 0, 0, 0, 0, 0, 1), (40, 0, 0, 0, 40, 0, 0, 0, 0, 0, 1),
