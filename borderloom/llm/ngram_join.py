@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .arrow_text import MUL, chunks, mix, shingle_sets
 from .components import components
-from .store import discard, stage
+from .store import discard, stage, unused
 
 FLUSH = 2_000_000  # shingles in one sorted run of a map task
 BLOCK_TOKENS = 4_000_000  # shingles in one block of a candidate group: 32 MB
@@ -303,3 +303,19 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return member.join(label, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component of :func:`ngram_jaccard_join`, that with the smallest id.
+
+    Documents without words link with nothing and stay.  Where ids are null or
+    repeat, rows are numbered and the first of a component stays.
+    """
+    ids = docs.groupBy(id_col).count()
+    key, numbered = id_col, docs
+    if ids.where((F.col("count") > 1) | F.col(id_col).isNull()).limit(1).count():
+        key = unused(docs.columns, "_row")
+        numbered = stage(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    gone = stage(ngram_jaccard_join(numbered, key, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "near-duplicates")
+    few = gone.count() <= BROADCAST_IDS
+    return numbered.join(F.broadcast(gone) if few else gone, numbered[key] == gone["_gone"], "left_anti").select(*[numbered[c] for c in docs.columns])

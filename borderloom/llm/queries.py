@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_digests
+from .chroma import align
 from .gam import quality_scores
 from .html_text import extract_main_text
 from .lines import drop_frequent_lines
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
 from .quality_rules import BASE, quality_rules
+from .quotes import link_quotes
 from .store import shared_dir
 from .warc import parse_records, read_archive, write_archive
 
@@ -23,6 +25,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table has audio: the bytes of a text are read as 8-bit PCM."""
+    return align(_table(spark, sf_dir, "documents"), "doc_id", "text", lambda i: i % 100 == 0).withColumnRenamed("id", "doc_id")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archive(_table(spark, sf_dir, "pages"), path)
@@ -37,20 +44,25 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
-def _vocabulary() -> str:
+def vocabulary_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_digests(_table(spark, sf_dir, "documents"), _vocabulary())
+    return encode_digests(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = link_quotes(_table(spark, sf_dir, "conversations"))
+    return linked.select("conv_id", "turn", "role", "text", "n_quotes", "n_linked", "reply_to", "thread", "depth")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return quality_rules(docs).select("doc_id", *BASE, "base_failed", "kept", "log_perplexity", "lower", "upper")
@@ -62,10 +74,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
+    return pack_documents(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
-_QUERIES = [op2_warc, op3_html_text, op4_ngram_jaccard_join, op5_quality_gam, op7_quality_rules, op8_line_dedup, op9_packing, op10_bpe]
+_QUERIES = [op1_chroma, op2_warc, op3_html_text, op4_ngram_jaccard_join, op5_quality_gam, op6_quotes, op7_quality_rules, op8_line_dedup, op9_packing, op10_bpe]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
