@@ -154,13 +154,14 @@ def _errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), batch.column(5), pa.array([n for n, _ in found], pa.int64()), pa.array([e for _, e in found], pa.int64())], ["class", "query", "offset", "votes", "overlap", "errors"])
 
 
-def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_errors: float = MOST_ERRORS, **options) -> DataFrame:
+def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_errors: float = MOST_ERRORS, least_overlap: int = WIDTH, **options) -> DataFrame:
     """Rows (id, n_items, class_id, match, match_offset, overlap, bit_error_rate) for every recording.
 
     class_id is the smallest id with an equal fingerprint (its own id where there
     is none).  match is the id of the query class (``is_query`` of a column of
     ids; a class is named by its smallest query) that the recording is aligned
-    with at the smallest bit error rate up to ``most_errors``; longer overlaps,
+    with over ``least_overlap`` integers or more at the smallest bit error rate up to
+    ``most_errors``; longer overlaps,
     then smaller ids win ties.  A recording in a query's class matches it at
     offset 0 without errors.  match_offset is the recording's first integer's
     place in the match.
@@ -182,7 +183,7 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
     pairs = best.join(classes.select("class", F.col("items").alias("a")), "class").join(asked.select(F.col("class").alias("of"), "query", F.col("items").alias("b")), "of")
     pairs = pairs.select("class", "query", F.col("b").alias("q"), F.col("a").alias("d"), "offset", "votes")
     aligned = pairs.mapInArrow(_errors, "class binary, query long, offset int, votes long, overlap long, errors long")
-    rated = aligned.where("overlap > 0").withColumn("rate", F.expr("errors / (32.0D * overlap)")).where(F.col("rate") <= most_errors)
+    rated = aligned.where(F.col("overlap") >= least_overlap).withColumn("rate", F.expr("errors / (32.0D * overlap)")).where(F.col("rate") <= most_errors)
     top = rated.groupBy("class").agg(F.min(F.struct("rate", (-F.col("overlap")).alias("short"), "query", "offset")).alias("m"))
     named = classes.select("class", "class_id", "query").join(top, "class", "left").withColumnRenamed("class", "of")
     own = F.col("query").isNotNull()
