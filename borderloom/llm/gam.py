@@ -68,7 +68,7 @@ class Gam(NamedTuple):
 
 
 def _coarse(b: np.ndarray) -> np.ndarray:
-    return b * PAIR_BINS // (BINS + 1)
+    return b * PAIR_BINS // BINS
 
 
 def _tree(g: np.ndarray, h: np.ndarray, depth: int, lam: float = 1.0) -> np.ndarray:
@@ -107,7 +107,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = RATE,
     width = x.shape[1]
     edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.zeros(0) for k in range(width)]
     rate0 = (y.sum() + 1) / (len(y) + 2)
-    model = Gam(edges, float(np.log(rate0 / (1 - rate0))), [np.zeros(BINS + 1) for _ in edges], [], [])
+    model = Gam(edges, float(np.log(rate0 / (1 - rate0))), [np.zeros(BINS) for _ in edges], [], [])
     if not len(x):
         return model
     b = model.bins(x)
@@ -120,7 +120,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = RATE,
     for _ in range(rounds):
         for k in range(width):
             g, h = slopes()
-            step = rate * _tree(np.bincount(b[:, k], g, BINS + 1), np.bincount(b[:, k], h, BINS + 1), 2)
+            step = rate * _tree(np.bincount(b[:, k], g, BINS), np.bincount(b[:, k], h, BINS), 2)
             model.tables[k][:] += step
             total += step[b[:, k]]
     c = np.stack([_coarse(b[:, k]) for k in range(width)], 1)

@@ -185,18 +185,16 @@ def block_features(found: list[Block]) -> np.ndarray:
 
 
 # The labelled table: FEATURES of blocks of hand-made pages, and 1 for main text.
-LABELLED = [
-    # marked blocks of any size between any neighbours: in an article, in furniture on pages with and without one, and outside a page's article
-    *((w, d, p, pd, n, nd, 1, 0, 1, h, 1) for w, d, h in ((1, 0, 0), (3, 1, 0), (8, 0, 1), (14, 0.3, 0), (60, 0.1, 0), (400, 0, 0)) for p, pd, n, nd in ((0, 0, 50, 0), (50, 0, 0, 0), (5, 0, 2, 1))),
-    *((w, d, p, pd, n, nd, 0, 1, has, 0, 0) for w, d in ((1, 1), (5, 0), (15, 0.2), (45, 0), (150, 0)) for p, pd, n, nd in ((1, 1, 1, 1), (60, 0, 60, 0), (40, 0, 0, 0)) for has in (0, 1)),
-    *((w, d, p, pd, n, nd, 0, 0, 1, 0, 0) for w, d in ((2, 1), (4, 0), (25, 0), (90, 0)) for p, pd, n, nd in ((0, 0, 1, 1), (70, 0, 0, 0), (1, 1, 60, 0))),
-    # pages without any mark: prose with short paragraphs between it, and link lists
-    (60, 0, 10, 0, 50, 0, 0, 0, 0, 0, 1), (30, 0.1, 40, 0, 3, 0, 0, 0, 0, 0, 1), (2, 0, 60, 0, 45, 0, 0, 0, 0, 0, 1), (8, 0, 1, 1, 60, 0, 0, 0, 0, 1, 1), (100, 0.2, 2, 1, 2, 1, 0, 0, 0, 0, 1),
-    (18, 0, 30, 0, 20, 0, 0, 0, 0, 0, 1), (5, 0, 40, 0, 30, 0, 0, 0, 0, 1, 1), (25, 0, 0, 0, 0, 0, 0, 0, 0, 0, 1), (12, 0, 25, 0, 0, 0, 0, 0, 0, 0, 1), (40, 0, 0, 0, 40, 0, 0, 0, 0, 0, 1),
-    (1, 0, 30, 0, 35, 0, 0, 0, 0, 0, 1), (3, 0, 45, 0, 5, 0, 0, 0, 0, 0, 1), (4, 0, 5, 0, 45, 0, 0, 0, 0, 0, 1), (9, 0, 20, 0, 15, 0, 0, 0, 0, 0, 1), (20, 0.2, 1, 1, 30, 0, 0, 0, 0, 0, 1), (6, 0, 0, 0, 50, 0, 0, 0, 0, 1, 1),
-    (2, 0, 40, 0, 0, 0, 0, 0, 0, 0, 0), (3, 0, 0, 0, 2, 1, 0, 0, 0, 0, 0), (4, 0, 30, 0, 0, 0, 0, 0, 0, 0, 0), (3, 0, 2, 1, 1, 1, 0, 0, 0, 0, 0), (6, 0, 1, 1, 3, 1, 0, 0, 0, 0, 0), (8, 0.6, 40, 0, 0, 0, 0, 0, 0, 0, 0), (5, 0, 4, 1, 0, 0, 0, 0, 0, 0, 0), (2, 0, 2, 0, 2, 0, 0, 0, 0, 0, 0),
-    (1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0), (3, 1, 0, 0, 3, 1, 0, 0, 0, 0, 0), (10, 0.9, 8, 0.8, 9, 1, 0, 0, 0, 0, 0), (30, 0.8, 20, 0.9, 25, 0.7, 0, 0, 0, 0, 0), (4, 0, 2, 1, 2, 1, 0, 0, 0, 0, 0), (3, 0.5, 60, 0, 2, 1, 0, 0, 0, 0, 0), (2, 1, 3, 1, 50, 0, 0, 0, 0, 0, 0),
+UNMARKED = [
+    # pages without any mark: paragraphs between anything, linked blocks between anything
+    *((w, d, p, pd, n, nd, 0, 0, 0, 0, 1) for w, d in ((16, 0), (25, 0.3), (45, 0.1), (120, 0.2)) for p, pd in ((0, 0), (2, 1), (4, 0), (60, 0)) for n, nd in ((0, 0), (1, 1), (3, 0), (60, 0))),
+    *((w, d, p, pd, n, nd, 0, 0, 0, 0, 0) for w, d in ((1, 1), (4, 0.6), (14, 0.7), (30, 0.8), (60, 0.6)) for p, pd in ((0, 0), (2, 1), (60, 0)) for n, nd in ((0, 0), (2, 1), (60, 0))),
+    # short blocks without links: kept before prose, a heading or a short paragraph, and otherwise dropped
+    *((w, 0, p, pd, n, 0, 0, 0, 0, h, 1) for w in (1, 4, 9) for p, pd in ((0, 0), (2, 1), (5, 0), (60, 0)) for n in (30, 60, 200) for h in (0, 1)),
+    *((w, 0, p, pd, n, nd, 0, 0, 0, 0, 0) for w in (2, 5, 9) for p, pd in ((0, 0), (2, 1), (5, 0), (60, 0)) for n, nd in ((0, 0), (2, 1), (3, 0), (30, 0.9))),
 ]
+# the same blocks where a page says what they are: in its article, in furniture of a page with and without an article, and outside the article
+LABELLED = UNMARKED + [(*row[:6], *marks, row[9], kept) for row in UNMARKED for marks, kept in (((1, 0, 1), 1), ((0, 1, 1), 0), ((0, 1, 0), 0), ((0, 0, 1), 0))]
 
 
 class Tree(NamedTuple):
@@ -211,7 +209,7 @@ def _gini(y: np.ndarray) -> float:
     return 2 * p * (1 - p) * len(y)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> Tree | int:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Tree | int:
     """Classification tree by Gini impurity; ties go to the earlier feature and the smaller cut."""
     label = int(2 * y.sum() >= len(y))
     if not depth or y.min() == y.max():

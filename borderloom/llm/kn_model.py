@@ -92,7 +92,8 @@ def build(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
         flat = p.ravel()
         weight[order] = gamma.ravel()
         # what is only ever a context, such as the start of a text, has a weight to be found
-        found = np.flatnonzero(t if order == ORDER else (t > 0) | (tables[order].reshape(-1, SIZE).sum(1) > 0))
+        # and every symbol has its probability alone
+        found = np.flatnonzero(t if order == ORDER else (t > 0) | (tables[order].reshape(-1, SIZE).sum(1) > 0) | (order == 1))
         keys.append((order, found, np.log(flat[found])))
         lower = flat
     all_keys = np.concatenate([hashes(o, x) for o, x, _ in keys])

@@ -46,10 +46,11 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
         level = m[0].count(">") if m else 0
         if level:
             if not before:
-                while own and not own[-1].strip():
-                    own.pop()
-                if own and _ATTRIBUTION.search(own[-1]):
-                    own.pop()
+                for _ in range(2):  # blank lines, and again behind an attribution
+                    while own and not own[-1].strip():
+                        own.pop()
+                    if own and _ATTRIBUTION.search(own[-1]):
+                        own.pop()
                 own.append("")
             body = line[m.end() :]
             if level != before or not body.strip() or not quoted:
