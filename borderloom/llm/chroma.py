@@ -34,6 +34,7 @@ FILTERS = [(k % 6, (5 * k) % 8, 2 + k % 4 if k % 6 else 1 + k % 3, (4, 8, 12, 16
 CUTS = (-0.12, 0.0, 0.12)
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 MOST_ERRORS = 0.35
+BLOCK_BYTES = 16 << 20
 
 
 def pitch_matrix(rate: int, frame: int) -> np.ndarray:
@@ -134,57 +135,88 @@ def fingerprints(recordings: DataFrame, id_col: str, data_col: str, kind: str =
     return recordings.select(F.col(id_col).cast("long").alias("id"), F.col(data_col).cast("binary").alias("data")).mapInArrow(run, "id long, n_items long, items binary, class binary")
 
 
-def _landmarks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys, places, owners = [], [], []
-        for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x = np.frombuffer(raw, "<u4").astype(np.int64)
-            at = np.flatnonzero(x[1:] != x[:-1])
-            keys.append((x[at] << 32) | x[at + 1])
-            places.append(at)
-            owners += [name] * len(at)
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(owners, pa.binary()), pa.array(np.concatenate(keys)), pa.array(np.concatenate(places), pa.int32())], ["class", "key", "pos"])
-
-
-def _errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b, offset = (batch.column(k).to_pylist() for k in (2, 3, 4))
-        found = [bit_errors(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), o) for x, y, o in zip(a, b, offset)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), batch.column(5), pa.array([n for n, _ in found], pa.int64()), pa.array([e for _, e in found], pa.int64())], ["class", "query", "offset", "votes", "overlap", "errors"])
-
-
-def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_errors: float = MOST_ERRORS, least_overlap: int = WIDTH, **options) -> DataFrame:
+class QueryBlock:
+    """Some query classes, with their landmarks in a sorted array."""
+
+    def __init__(self, names: list[int], prints: list[bytes]):
+        self.names = names
+        self.prints = [np.frombuffer(x, "<u4") for x in prints]
+        marks = [landmarks(x) for x in self.prints]
+        key = np.concatenate([k for k, _ in marks]) if marks else np.zeros(0, np.int64)
+        order = np.argsort(key, kind="stable")
+        self.key = key[order]
+        self.owner = np.repeat(np.arange(len(marks)), [len(k) for k, _ in marks])[order]
+        self.place = (np.concatenate([p for _, p in marks]) if marks else key)[order]
+
+    def best(self, x: np.ndarray, most_errors: float, least_overlap: int) -> tuple[float, int, int, int] | None:
+        """(bit error rate, minus overlap, query, offset) of the best aligned query, if there is one."""
+        key, place = landmarks(x)
+        lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
+        n = hi - lo
+        if not n.sum():
+            return None
+        hit = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        owner, offset = self.owner[hit], self.place[hit] - np.repeat(place, n)
+        pairs, votes = np.unique(np.stack([owner, offset], 1), axis=0, return_counts=True)
+        order = np.lexsort((pairs[:, 1], -votes, pairs[:, 0]))
+        first = order[np.unique(pairs[order, 0], return_index=True)[1]]  # a query's offset of most votes, the smaller of equal ones
+        found = None
+        for q, at in pairs[first].tolist():
+            overlap, errors = bit_errors(self.prints[q], x, at)
+            if overlap >= least_overlap and errors <= most_errors * 32 * overlap:
+                rated = (errors / (32.0 * overlap), -overlap, self.names[q], at)
+                found = rated if found is None else min(found, rated)
+        return found
+
+
+def landmarks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of consecutive, different integers as 64-bit keys, and their places."""
+    x = x.astype(np.int64)
+    at = np.flatnonzero(x[1:] != x[:-1])
+    return (x[at] << 32) | x[at + 1], at
+
+
+def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_errors: float = MOST_ERRORS, least_overlap: int = WIDTH, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
     """Rows (id, n_items, class_id, match, match_offset, overlap, bit_error_rate) for every recording.
 
     class_id is the smallest id with an equal fingerprint (its own id where there
     is none).  match is the id of the query class (``is_query`` of a column of
     ids; a class is named by its smallest query) that the recording is aligned
-    with over ``least_overlap`` integers or more at the smallest bit error rate up to
-    ``most_errors``; longer overlaps,
-    then smaller ids win ties.  A recording in a query's class matches it at
-    offset 0 without errors.  match_offset is the recording's first integer's
-    place in the match.
+    with over ``least_overlap`` integers or more at the smallest bit error rate up
+    to ``most_errors``; longer overlaps, then smaller ids win ties.  A recording
+    in a query's class matches it at offset 0 without errors.  match_offset is
+    the recording's first integer's place in the match.
+
+    Query classes go to the executors in blocks of about ``block_bytes``, and
+    every class is held against every block; a class is held once, however many
+    recordings it has, and gives one row a block at most.
 
     Null or short recordings have no integers and no match.  Null ids are never
     queries.  Repeated rows stay.  An empty table gives an empty result.
     """
+    spark = recordings.sparkSession
     prints = stage(fingerprints(recordings, id_col, data_col, **options), "fingerprints")
     known = prints.where("class is not null")
     classes = stage(known.groupBy("class").agg(F.min("id").alias("class_id"), F.min(F.when(is_query(F.col("id")), F.col("id"))).alias("query"), F.first("items").alias("items")), "classes")
-    marks = classes.select("class", "items").mapInArrow(_landmarks, "class binary, key long, pos int")
     asked = classes.where("query is not null")
-    ask = asked.select("class", "items").mapInArrow(_landmarks, "class binary, key long, pos int")
-    votes = (
-        marks.join(ask.select(F.col("class").alias("of"), "key", F.col("pos").alias("at")), "key")
-        .where("class <> of").groupBy("class", "of", (F.col("at") - F.col("pos")).alias("offset")).count()
-    )
-    best = votes.groupBy("class", "of").agg(F.max(F.struct("count", (-F.col("offset")).alias("back"))).alias("m")).select("class", "of", (-F.col("m.back")).alias("offset"), F.col("m.count").alias("votes"))
-    pairs = best.join(classes.select("class", F.col("items").alias("a")), "class").join(asked.select(F.col("class").alias("of"), "query", F.col("items").alias("b")), "of")
-    pairs = pairs.select("class", "query", F.col("b").alias("q"), F.col("a").alias("d"), "offset", "votes")
-    aligned = pairs.mapInArrow(_errors, "class binary, query long, offset int, votes long, overlap long, errors long")
-    rated = aligned.where(F.col("overlap") >= least_overlap).withColumn("rate", F.expr("errors / (32.0D * overlap)")).where(F.col("rate") <= most_errors)
-    top = rated.groupBy("class").agg(F.min(F.struct("rate", (-F.col("overlap")).alias("short"), "query", "offset")).alias("m"))
+    size = asked.agg(F.coalesce(F.sum(F.length("items") + 40), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // block_bytes))
+    found = None
+    for b in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == b).select("query", "items").orderBy("query").toArrow()
+        shared = spark.sparkContext.broadcast((rows.column(0).to_pylist(), rows.column(1).to_pylist()))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            block = None
+            for batch in batches:
+                block = block or QueryBlock(*shared.value)
+                best = [block.best(np.frombuffer(x, "<u4"), most_errors, least_overlap) for x in batch.column(1).to_pylist()]
+                kept = [(c, *r) for c, r in zip(batch.column(0).to_pylist(), best) if r]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate((pa.binary(), pa.float64(), pa.int64(), pa.int64(), pa.int64()))], ["class", "rate", "short", "query", "offset"])
+
+        part = classes.where("query is null").select("class", "items").mapInArrow(run, "class binary, rate double, short long, query long, offset long")
+        found = part if found is None else found.union(part)
+    top = found.groupBy("class").agg(F.min(F.struct("rate", "short", "query", "offset")).alias("m"))
     named = classes.select("class", "class_id", "query").join(top, "class", "left").withColumnRenamed("class", "of")
     own = F.col("query").isNotNull()
     return prints.join(named, prints["class"] == named["of"], "left").select(
