@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
-Every round is two aggregations with map-side partial minima and two equi-joins
-that AQE may split where a node has very many edges.  No edge, node or label is
+Every round is two aggregations with map-side partial minima and two equi-joins.
+The minima are written before the join, so that both its sides are plain
+exchanges, which AQE can split where a node has very many edges.  No edge, node or label is
 collected; the driver sees one row of totals a round.
 """
 
@@ -33,13 +34,13 @@ def components(edges: DataFrame, u: str, v: str) -> DataFrame:
                 e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
         both = _both(e)
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = stage(large.distinct(), "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         kept = large.join(low, "u")
         small = kept.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         after = stage(small.distinct(), "small-star")
-        discard(e)
-        discard(large)
+        for done in (e, least, large, low):
+            discard(done)
         e = after

@@ -20,7 +20,7 @@ are shuffled rather than a row each.  A bucket sends back what is not unique.
 Documents with equal sets are one node from then on.  Nodes that share a prefix
 token form candidate groups; the sets of a group are verified in one task while
 they have at most ``block_tokens`` shingles.  A larger group is cut into blocks,
-and each pair of blocks is one task, which emits a spanning forest of its links,
+and each pair of blocks is one task, which emits a star for each of its components,
 never the pairs; so no group, whatever its size, meets in one task.
 
 Truncating a token to 40 bits and its bucket can only make a token look less
@@ -41,7 +41,7 @@ from .arrow_text import MUL, chunks, mix, shingle_sets
 from .components import components
 from .store import discard, stage, unused
 
-FLUSH = 2_000_000  # shingles in one sorted run of a map task
+FLUSH = 1_000_000  # shingles in one sorted run of a map task
 BLOCK_TOKENS = 4_000_000  # shingles in one block of a candidate group: 32 MB
 BROADCAST_IDS = 1_000_000  # ids, 8 MB
 TOKEN_BITS = 40
@@ -197,7 +197,7 @@ def _csr(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarr
 
 
 def forest(sets: list[np.ndarray], first_prefix: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links between some sets.
+    """A star (first member, other member) for each component of the links between some sets.
 
     Breadth first: a set is compared with sets that no tree has reached yet, and
     only with those that share a prefix token with it under each of three orders.
@@ -233,7 +233,7 @@ def forest(sets: list[np.ndarray], first_prefix: list[np.ndarray]) -> list[tuple
             common = np.add.reduceat((sets[x][at] == both).astype(np.int64), np.concatenate([[0], np.cumsum(size[found])[:-1]]))
             for y in found[100 * common >= 75 * (size[x] + size[found] - common)].tolist():
                 left[y] = False
-                edges.append((x, y))
+                edges.append((root, y))
                 queue.append(y)
     return edges
 
