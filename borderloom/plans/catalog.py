@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from borderloom.plans import q_geometry, q_graph, q_steps, q_tables  # noqa: F401  they register
+from borderloom.plans.registry import ORACLES, QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
+FLAGSHIP = "step201_fill_fictitious"
 
-FLAGSHIP = "a1_covered_ratio"
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(ORACLES)
