@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 MUL = np.uint64(0x9E3779B97F4A7C15)
 _ODD = 0x5851F42D4C957F2D  # odd, hence invertible modulo 2**64
 _INV = pow(_ODD, -1, 1 << 64)

@@ -33,6 +33,7 @@ BAND = 5.0
 LEAST_SPREAD = 0.03  # of the median: the interquartile range counts as at least this
 MODEL_BYTES = 128 << 20
 HELD_LANGUAGES = 16
+COUNTED = 1 << 20
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 STATS = [*BASE, "base_failed", "log_perplexity"]
@@ -52,16 +53,19 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), object)
-            for texts in chunks(batch.column(1), 4 << 20):
+            names, langs = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+            for texts in chunks(batch.column(1), COUNTED):
                 codes, at = gram_codes(texts)
-                here = langs[texts.first : texts.first + len(texts)]
+                here = langs[texts.first : texts.first + len(texts)].astype(np.int32)
                 owner = np.repeat(here, np.diff(at))
-                for lang in set(here):
-                    if lang not in held and len(held) >= HELD_LANGUAGES:
-                        yield from flush()
-                    total = held.setdefault(lang, np.zeros(GRAMS, np.int64))
-                    total += np.bincount(codes[owner == lang], minlength=GRAMS)
+                for k in np.unique(here):
+                    lang = names[k]
+                    if lang not in held:
+                        if len(held) >= HELD_LANGUAGES:
+                            yield from flush()
+                        held[lang] = np.zeros(GRAMS, np.int64)
+                    found, n = np.unique(codes[owner == k], return_counts=True)
+                    held[lang][found] += n
         yield from flush()
 
     rows = docs.mapInArrow(run, "lang string, gram int, n long")

@@ -17,11 +17,12 @@ from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
 from .quality_rules import BASE, quality_rules
 from .quotes import link_quotes
-from .store import shared_dir
+from .store import shared_dir, small_batches
 from .warc import parse_records, read_archive, write_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

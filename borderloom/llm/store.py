@@ -23,6 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     return set_dir.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Have Spark hand rows to Python in batches of at most so many rows and bytes: texts are long, and a batch is held by the JVM and by Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: a cut of the lineage that outlives executors."""
     spark = df.sparkSession
