@@ -16,32 +16,37 @@ from borderloom.llm.ngram_join import drop_near_duplicates
 from borderloom.llm.packing import pack_documents
 from borderloom.llm.quality_rules import quality_rules
 from borderloom.llm.queries import vocabulary_path
-from borderloom.llm.store import stage
+from borderloom.llm.store import small_batches, stage
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier gives label 1."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_classifier(docs, labels).where("predicted = 1").select(*docs.columns)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and their language's perplexity band."""
+    small_batches(spark)
     return quality_rules(docs).where("kept").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that at least 10 of them have; n_chars follows the text."""
+    small_batches(spark)
     return drop_frequent_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the Jaccard links, that with the smallest id."""
+    small_batches(spark)
     return drop_near_duplicates(docs).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in packed sequences."""
+    small_batches(spark)
     return pack_documents(docs, vocabulary_path())
 
 
