@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow_text import trimmed
+
 # fixed values: the pattern that splits text before the merges, and its white space
 _WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
@@ -174,6 +176,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
     """
     shared = vocabulary(docs.sparkSession, vocab_path)
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(shared.value)
         for batch in batches:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
+from .arrow_text import trimmed
 from .store import stage
 
 RATE, FRAME, HOP = 1378, 512, 64  # an eighth of 11025 Hz; 0.37 s frames
@@ -121,6 +122,7 @@ def bit_errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
 def fingerprints(recordings: DataFrame, id_col: str, data_col: str, kind: str = "u8", rate: int = RATE, frame: int = FRAME, hop: int = HOP) -> DataFrame:
     """Rows (id, n_items, items binary, class binary) of a column of PCM bytes; null bytes are silence of no length."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = pitch_matrix(rate, frame)
         for batch in batches:
@@ -206,6 +208,7 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
         rows = asked.where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == b).select("query", "items").orderBy("query").toArrow()
         shared = spark.sparkContext.broadcast((rows.column(0).to_pylist(), rows.column(1).to_pylist()))
 
+        @trimmed
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = None
             for batch in batches:
@@ -219,10 +222,13 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
     top = found.groupBy("class").agg(F.min(F.struct("rate", "short", "query", "offset")).alias("m"))
     named = classes.select("class", "class_id", "query").join(top, "class", "left").withColumnRenamed("class", "of")
     own = F.col("query").isNotNull()
-    return prints.join(named, prints["class"] == named["of"], "left").select(
-        "id", "n_items", F.coalesce("class_id", "id").alias("class_id"),
+    # recordings without integers have no class; they stay out of the join, where they would be one key
+    without = prints.where("class is null").select("id", "n_items", F.col("id").alias("class_id"), *[F.lit(None).cast(t).alias(n) for n, t in (("match", "long"), ("match_offset", "long"), ("overlap", "long"), ("bit_error_rate", "double"))])
+    found = known.join(named, known["class"] == named["of"]).select(
+        "id", "n_items", "class_id",
         F.when(own, F.col("query")).otherwise(F.col("m.query")).alias("match"),
-        F.when(own, F.lit(0)).otherwise(F.col("m.offset")).alias("match_offset"),
+        F.when(own, F.lit(0)).otherwise(F.col("m.offset")).cast("long").alias("match_offset"),
         F.when(own, F.col("n_items")).otherwise(-F.col("m.short")).alias("overlap"),
         F.when(own, F.lit(0.0)).otherwise(F.col("m.rate")).alias("bit_error_rate"),
     )
+    return found.union(without)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import Texts, chunks
+from .arrow_text import Texts, chunks, trimmed
 from .store import stage
 from .text_stats import text_stats
 
@@ -147,6 +147,7 @@ def featured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     docs = docs.withColumn(text_col, F.col(text_col).cast("string")).drop("_features")
     where, names = docs.columns.index(text_col), docs.columns
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in chunks(batch.column(where)):
@@ -195,13 +196,24 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, label_col: str = "qua
     Inputs of a score are counts of the text alone.  A null text counts as empty
     and is scored so.  Rows with a null id are held out.  Labels other than 0 and 1
     are ignored; without any every score is 0.5.  A repeated labelled row counts
-    each time.  Other columns stay; columns named _features, held_out, score or
-    predicted are replaced.  An empty table gives an empty result.
+    each time.  Other columns stay; columns named held_out, score or predicted
+    are replaced.  An empty table gives an empty result.
     """
-    docs = docs.drop("held_out")
+    docs = docs.drop("held_out", "score", "predicted").withColumn(text_col, F.col(text_col).cast("string"))
     only = stage(featured(docs.select(F.col(id_col), F.col(text_col)), text_col).select(id_col, "_features"), "features")
     model = train(only, labels, label_col, id_col, max_rows)
-    return scored(featured(docs, text_col), model, threshold).withColumn("held_out", held_out(id_col))
+    where, names = docs.columns.index(text_col), docs.columns
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in chunks(batch.column(where)):
+                p = shared.value.score(features(texts))
+                yield pa.RecordBatch.from_arrays([*batch.slice(texts.first, len(texts)).columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*names, "score", "predicted"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double, predicted int"
+    return docs.mapInArrow(run, schema).withColumn("held_out", held_out(id_col))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

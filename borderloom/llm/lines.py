@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
+from .arrow_text import trimmed
 from .store import stage, unused
 
 FREQUENT = 500_000  # 16-byte hashes, 8 MB
@@ -43,6 +44,7 @@ def _hashes(text: str | None, min_chars: int) -> list[bytes | None]:
 def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text_col: str = "text") -> DataFrame:
     """Rows (line binary, docs long): hashes of normalised lines that at least ``min_docs`` documents have."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
 
@@ -97,6 +99,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     if n <= broadcast_at_most:
         shared = spark.sparkContext.broadcast(frozenset(frequent.toArrow().column(0).to_pylist()))
 
+        @trimmed
         def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = shared.value
             for batch in batches:
@@ -107,17 +110,20 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
 
         return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(here, schema)
 
+    @trimmed
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 found = [(p, h) for p, h in enumerate(_hashes(text, min_chars)) if h]
                 yield pa.RecordBatch.from_arrays([pa.array([xxh3_128_digest((text or "").encode())] * len(found), pa.binary()), pa.array([p for p, _ in found], pa.int32()), pa.array([h for _, h in found], pa.binary())], ["content", "pos", "line"])
 
+    @trimmed
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(where).to_pylist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([xxh3_128_digest((t or "").encode()) for t in texts], pa.binary())], [*batch.schema.names, content])
 
+    @trimmed
     def there(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(where).to_pylist()

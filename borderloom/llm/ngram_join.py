@@ -19,9 +19,11 @@ their top bits and sends a bucket's block as one row, so 5 to 6 bytes a shingle
 are shuffled rather than a row each.  A bucket sends back what is not unique.
 Documents with equal sets are one node from then on.  Nodes that share a prefix
 token form candidate groups; the sets of a group are verified in one task while
-they have at most ``block_tokens`` shingles.  A larger group is cut into blocks,
-and each pair of blocks is one task, which emits a star for each of its components,
-never the pairs; so no group, whatever its size, meets in one task.
+they have at most ``block_tokens`` shingles.  Members of a larger group are first
+held against a few of its sets, which joins most of a large group of near copies;
+then it is cut into blocks by what is joined, and two blocks that aren't joined
+meet in a task, which emits a star for each of its components, never the pairs.
+So no group, whatever its size, meets in one task.
 
 Truncating a token to 40 bits and its bucket can only make a token look less
 rare; it never loses a candidate.
@@ -37,12 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import MUL, chunks, mix, shingle_sets
+from .arrow_text import MUL, chunks, mix, shingle_sets, trimmed
 from .components import components
 from .store import discard, stage, unused
 
 FLUSH = 1_000_000  # shingles in one sorted run of a map task
-BLOCK_TOKENS = 4_000_000  # shingles in one block of a candidate group: 32 MB
+BLOCK_TOKENS = 250_000  # shingles in one block of a candidate group: 2 MB
+PIVOTS = 3  # sets that each member of a larger group is held against first
 BROADCAST_IDS = 1_000_000  # ids, 8 MB
 TOKEN_BITS = 40
 
@@ -79,6 +82,7 @@ def _forward(buckets: int):
     shift = np.uint64(64 - int(buckets).bit_length() + 1)
     low = np.uint64((1 << TOKEN_BITS) - 1)
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq, place = 0, TaskContext.get().partitionId()
         ids, sizes, nodes, sets, seen, held = [], [], [], [], set(), 0
@@ -179,6 +183,7 @@ def _gather(key: tuple, table: pa.Table) -> pa.Table:
     return pa.Table.from_pydict(out, schema=GATHERED)
 
 
+@trimmed
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for texts in chunks(batch.column(0)):
@@ -246,6 +251,71 @@ def _verify(key: tuple, table: pa.Table) -> pa.Table:
     return pa.Table.from_pydict({"a": pa.array([nodes[x] for x, _ in found], pa.binary()), "b": pa.array([nodes[y] for _, y in found], pa.binary())})
 
 
+@trimmed
+def _near_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of rows (pivot, p, node, tokens)."""
+    for batch in batches:
+        found = []
+        for pivot, p, node, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+            x, y = np.frombuffer(p, "<u8"), np.frombuffer(tokens, "<u8")
+            common = np.isin(y, x, assume_unique=True).sum()
+            if pivot != node and 100 * common >= 75 * (len(x) + len(y) - common):
+                found.append((pivot, node))
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+
+def _blocks(cand: DataFrame, sets: DataFrame, block_tokens: int) -> tuple[DataFrame, DataFrame | None]:
+    """Candidates with their sets and the pairs of blocks (i, j) of their group that they meet others in, and links that are known already.
+
+    A group of up to ``block_tokens`` shingles is one block.  Members of a larger
+    one are first held against PIVOTS of it.  What those link is connected, so
+    blocks are made up by component, and no two blocks of one component meet:
+    a group of very many near copies of one text costs about as many block pairs
+    as it has blocks.
+    """
+    total = cand.groupBy("root").agg(F.sum("n").alias("total"))
+    sized = cand.join(total, "root")
+    one = sized.where(F.col("total") <= block_tokens).select("root", "node", "prefix", F.expr("array(struct(0 as i, 0 as j))").alias("pairs"))
+    if not total.where(F.col("total") > block_tokens).limit(1).count():
+        return one.join(sets, "node"), None
+    big = stage(sized.where(F.col("total") > block_tokens).select("root", "node", "n", "prefix").join(sets, "node"), "large-groups")
+    order = F.struct(F.xxhash64("node").alias("h"), "node")
+    low = big.select("root", order.alias("o"))
+    found = []
+    for _ in range(PIVOTS):
+        pick = stage(low.groupBy("root").agg(F.min("o").alias("o")), "pivots")
+        found.append(pick)
+        low = low.join(pick.select("root", F.col("o").alias("last")), "root").where(F.col("o") > F.col("last")).drop("last")
+    chosen = found[0]
+    for pick in found[1:]:
+        chosen = chosen.union(pick)
+    with_tokens = chosen.select("root", F.col("o.node").alias("node")).join(big.select("node", "tokens"), "node").select("root", F.col("node").alias("pivot"), F.col("tokens").alias("p"))
+    known = stage(big.select("root", "node", "tokens").join(with_tokens, "root").select("pivot", "p", "node", "tokens").mapInArrow(_near_pivots, "a binary, b binary"), "pivot-links")
+    label = components(known, "a", "b")
+    part = big.select("root", "node", "n").join(label.withColumnRenamed("root", "label"), "node", "left")
+    size = part.groupBy("root", "label").agg(F.sum("n").alias("tokens"))
+    # a component of half a block or more has blocks of its own, the rest shares blocks
+    own = (F.col("tokens") * 2 > block_tokens) & F.col("label").isNotNull()
+    kind = size.select("root", "label", F.when(own, F.hex("label")).otherwise(F.lit("")).alias("kind"), "tokens")
+    count = stage(kind.groupBy("root", "kind").agg(F.ceil(F.sum("tokens") / F.lit(block_tokens)).cast("int").alias("count")), "blocks")
+    kind = kind.select(F.col("root").alias("r"), F.col("label").alias("l"), "kind")
+    placed = part.join(kind, (F.col("root") == F.col("r")) & F.col("label").eqNullSafe(F.col("l"))).select("root", "node", "kind").join(count, ["root", "kind"])
+    placed = placed.select("node", F.concat_ws("/", "kind", F.pmod(F.xxhash64("node"), "count")).alias("block"), "root")
+    named = count.select("root", "kind", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("k")).select("root", "kind", F.concat_ws("/", "kind", "k").alias("block"))
+    other = named.select(F.col("root").alias("r2"), F.col("kind").alias("kind2"), F.col("block").alias("block2"))
+    # blocks of one component don't meet; a block alone in its group meets itself
+    meet = named.join(other, (F.col("root") == F.col("r2")) & ((F.col("kind") != F.col("kind2")) | (F.col("kind") == "")))
+    pairs = meet.where("block <= block2").groupBy("root", "block").agg(F.collect_list("block2").alias("up"))
+    down = meet.where("block > block2").groupBy("root", "block").agg(F.collect_list("block2").alias("down"))
+    per = pairs.join(down, ["root", "block"], "full").select(
+        "root", "block",
+        F.concat(F.transform(F.coalesce("up", F.array()), lambda b: F.struct(F.col("block").alias("i"), b.alias("j"))), F.transform(F.coalesce("down", F.array()), lambda b: F.struct(b.alias("i"), F.col("block").alias("j")))).alias("pairs"),
+    )
+    many = big.drop("n").join(placed.select("node", "block"), "node").join(per, ["root", "block"]).select("root", "node", "prefix", "pairs", "tokens")
+    one = one.withColumn("pairs", F.transform("pairs", lambda p: F.struct(p["i"].cast("string").alias("i"), p["j"].cast("string").alias("j"))))
+    return one.join(sets, "node").select(many.columns).union(many), known
+
+
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id) for every row of ``docs``.
 
@@ -283,14 +353,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if cand.where("doc_id is null").limit(1).count():
         texts = texts.union(docs.where("doc_id is null").select("text"))
     sets = texts.mapInArrow(_sets, "node binary, tokens binary")
-    blocks = cand.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block_tokens)).cast("int").alias("blocks"))
-    cand_b = cand.join(blocks, "root").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    with_sets = cand_b.join(sets, "node").select(
-        "root", "node", "prefix", "tokens",
-        F.explode(F.expr("if(blocks = 1, array(0), filter(sequence(0, blocks - 1), x -> x <> own))")).alias("other"), "own",
-    )
-    keyed = with_sets.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "prefix", "tokens")
+    held, large = _blocks(cand, sets, block_tokens)
+    keyed = held.select("root", F.explode("pairs").alias("p"), "node", "prefix", "tokens").select("root", "p.i", "p.j", "node", "prefix", "tokens")
     links = keyed.groupBy("root", "i", "j").applyInArrow(_verify, "a binary, b binary")
+    if large is not None:
+        links = links.union(large)
     comps = stage(components(links, "a", "b"), "components")
     discard(cand)
 

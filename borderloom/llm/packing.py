@@ -29,6 +29,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow_text import trimmed
 from .bpe import PATTERN, ByteBPE, byte_alphabet, vocabulary
 from .store import stage
 
@@ -166,6 +167,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
     """
     shared, top = vocabulary(docs.sparkSession, vocab_path), TIERS[0]
 
+    @trimmed
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(shared.value)
         end = END_ID.to_bytes(4, "little")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow_text import chunks
+from .arrow_text import chunks, trimmed
 from .kn_model import GRAMS, Model, build, gram_codes
 from .store import stage, unused
 from .text_stats import text_stats
@@ -43,6 +43,7 @@ _NEEDED = frozenset(["n_symbols"])
 def gram_counts(docs: DataFrame) -> DataFrame:
     """Rows (lang, gram, n) of (lang, text): counts of 4-grams over all documents; a null language is ''."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
 
@@ -84,6 +85,7 @@ def models(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
 
 def _scored(docs: DataFrame, shared, where_lang: int, where_text: int, names: list[str], schema: str) -> DataFrame:
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = shared.value
         made: dict[str, Model] = {}
