@@ -81,8 +81,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return lab
 
 
-def chains(g: DataFrame, key: Column | None = None, id_col: str = "objectid") -> DataFrame:
-    """Rows (eid, chain, n_edges, length, pivot): edges joined through vertices of degree 2 at which both have an equal key.
+def chains(g: DataFrame, key: Column | None = None, id_col: str = "objectid", stops: DataFrame | None = None) -> DataFrame:
+    """Rows (eid, chain, n_edges, length, pivot): edges joined through vertices of degree 2 at which both have an equal key, but not through ``stops`` (v).
 
     A chain is named by its smallest edge; the pivot is its longest edge, the
     smaller id of equal ones.  Loops are chains of their own.
@@ -92,6 +92,8 @@ def chains(g: DataFrame, key: Column | None = None, id_col: str = "objectid") ->
     two = h.groupBy("v").agg(F.count("*").alias("degree"), F.min("eid").alias("a"), F.max("eid").alias("b"), F.min("_key").alias("ka"), F.max("_key").alias("kb"))
     loops = g.where("v0 = v1").select(F.col("v0").alias("v")).distinct()
     links = two.where("degree = 2 and a <> b and ka <=> kb").join(loops, "v", "left_anti")
+    if stops is not None:
+        links = links.join(stops.select("v"), "v", "left_anti")
     lab = components(links, "a", "b")
     named = g.select(F.col(id_col).alias("eid"), "len").join(lab, F.col("eid") == F.col("node"), "left").select("eid", "len", F.coalesce("root", "eid").alias("chain"))
     total = named.groupBy("chain").agg(F.count("*").alias("n_edges"), F.sum("len").alias("length"), F.min_by("eid", F.struct(-F.round("len", 9), "eid")).alias("pivot"))

@@ -101,8 +101,8 @@ def undershoots(edges: DataFrame, border: DataFrame, p: Params) -> DataFrame:
     near = best(points_near_segments(ray.select("id", F.col("x0").alias("x"), F.col("y0").alias("y")), b, most), "p_id", "s_id")
     seg = b.select(F.col("id").alias("s_id"), *[F.col(c).alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")])
     ortho = near.join(seg, "s_id").join(d.select(F.struct("eid", "v").alias("p_id"), "x", "y"), "p_id").withColumn("t", project_t("x", "y", "bx0", "by0", "bx1", "by1"))
-    ortho = ortho.select(F.col("p_id").alias("id"), F.col("dist").alias("od"), along("bx0", "bx1", "t").alias("ox"), along("by0", "by1", "t").alias("oy"))
-    both = axial.join(ortho, "id", "full")
+    ortho = cut(ortho).select(F.col("p_id").alias("id"), F.col("dist").alias("od"), along("bx0", "bx1", "t").alias("ox"), along("by0", "by1", "t").alias("oy"))
+    both = cut(axial.join(ortho, "id", "full"))
     use = F.col("ad").isNull() | (F.col("od") < F.col("ad") / 3)
     to = both.select(F.col("id.eid").alias("edge"), F.when(use, F.col("ox")).otherwise(F.col("ax")).alias("x"), F.when(use, F.col("oy")).otherwise(F.col("ay")).alias("y"), F.col("id.v").alias("v"))
     attrs = edges.select(F.col("objectid").alias("edge"), "country", F.col("form_of_way").alias("way"))
@@ -141,7 +141,7 @@ def connecting_points(groups: DataFrame, border: DataFrame) -> DataFrame:
     c = cut(groups.groupBy("group").agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.count("*").alias("n"), F.concat_ws("#", F.transform(F.array_sort(F.collect_set(F.struct("country", "edge"))), lambda s: s["edge"])).alias("linked_feat_id")))
     b = border.select(F.col("objectid").alias("id"), "x0", "y0", "x1", "y1")
     near = best(points_near_segments(c.select(F.col("group").alias("id"), "x", "y"), b, 1000.0, 200.0), "p_id", "s_id").select(F.col("p_id").alias("group"), F.col("s_id").alias("id"))
-    j = c.join(near, "group").join(b, "id").withColumn("t", project_t("x", "y", "x0", "y0", "x1", "y1"))
+    j = cut(c.join(near, "group").join(b, "id").withColumn("t", project_t("x", "y", "x0", "y0", "x1", "y1")))
     return j.select(F.concat(F.lit("CONNECTINGPOINT"), "group").alias("objectid"), "linked_feat_id", "n", along("x0", "x1", "t").alias("x"), along("y0", "y1", "t").alias("y"))
 
 
@@ -151,7 +151,7 @@ def snap_points_to_lines(points: DataFrame, cls: DataFrame, p: Params) -> DataFr
     points = cut(points)
     near = best(points_near_segments(points.select(F.col("objectid").alias("id"), "x", "y"), c, p.cp_2_cl_snap), "p_id", "s_id")
     j = points.select("objectid", F.col("x").alias("px"), F.col("y").alias("py")).join(near.select(F.col("p_id").alias("objectid"), F.col("s_id").alias("id")), "objectid", "left").join(c, "id", "left")
-    j = j.withColumn("t", F.when(F.col("id").isNotNull(), project_t("px", "py", "x0", "y0", "x1", "y1")))
+    j = cut(j.withColumn("t", F.when(F.col("id").isNotNull(), project_t("px", "py", "x0", "y0", "x1", "y1"))))
     return j.select("objectid", F.col("id").alias("cl"), "t", F.coalesce(along("x0", "x1", "t"), "px").alias("x"), F.coalesce(along("y0", "y1", "t"), "py").alias("y"))
 
 
@@ -165,11 +165,11 @@ def connect_points(edges: DataFrame, points: DataFrame, p: Params) -> DataFrame:
     (dx, dy) leads from there to the point.
     """
     j = points.select(F.col("objectid").alias("cp"), "edge", F.col("x").alias("px"), F.col("y").alias("py")).join(edges.withColumnRenamed("objectid", "edge"), "edge")
-    j = j.withColumns({"t": project_t("px", "py", "x0", "y0", "x1", "y1"), "len": distance("x0", "y0", "x1", "y1")})
+    j = cut(j.withColumns({"t": project_t("px", "py", "x0", "y0", "x1", "y1"), "len": distance("x0", "y0", "x1", "y1")}))
     d0, d1 = F.col("t") * F.col("len"), (1 - F.col("t")) * F.col("len")
     kind = F.when((d0 < p.snap_dist) & (d0 <= d1), "start").when(d1 < p.snap_dist, "end").otherwise("cut")
     t = F.when(F.col("kind") == "start", 0.0).when(F.col("kind") == "end", 1.0).otherwise(F.col("t"))
-    j = j.withColumn("kind", kind).withColumn("t", t)
+    j = cut(j.withColumn("kind", kind)).withColumn("t", t)
     return j.select(F.col("cp").alias("objectid"), "edge", "kind", (F.col("t") * F.col("len")).alias("s"), (F.col("px") - along("x0", "x1", "t")).alias("dx"), (F.col("py") - along("y0", "y1", "t")).alias("dy"))
 
 
@@ -283,7 +283,8 @@ def merge_lines(cls: DataFrame, edges: DataFrame, p: Params) -> DataFrame:
     ab = ab.join(parts.select("part", "x0", "y0", "x1", "y1"), "part")
     for n in "ab":
         ab = ab.withColumns({f"{n}t{e}": project_t(f"x{e}", f"y{e}", f"{n}x0", f"{n}y0", f"{n}x1", f"{n}y1") for e in "01"})
-        ab = ab.withColumns({f"{n}{c}{e}p": along(f"{n}{c}0", f"{n}{c}1", f"{n}t{e}") for e in "01" for c in "xy"})
+    ab = cut(ab)  # else the projections would be written out again wherever they are used
+    ab = cut(ab.withColumns({f"{n}{c}{e}p": along(f"{n}{c}0", f"{n}{c}1", f"{n}t{e}") for n in "ab" for e in "01" for c in "xy"}))
     off = lambda n, m, e: point_segment(f"{n}x{e}p", f"{n}y{e}p", f"{m}x0p", f"{m}y0p", f"{m}x1p", f"{m}y1p")
     ab = ab.withColumn("dist", F.greatest(off("a", "b", 0), off("a", "b", 1), off("b", "a", 0), off("b", "a", 1)))
     pairs = greedy_pairs(ab.where(F.col("dist") <= p.cl_edge_max_dist))

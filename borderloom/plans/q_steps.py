@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from borderloom.operators import cleaning as C
 from borderloom.operators import graph as G
 from borderloom.operators import matching as M
-from borderloom.plans.params import Params, load
+from borderloom.plans.params import load
 from borderloom.plans.pipeline import State, run
 from borderloom.plans.registry import CLIP, query, rounded
 from borderloom.sources import network as net
@@ -283,7 +283,8 @@ def params(spark, d):
     return spark.createDataFrame(rows, "theme string, undershoot double, slim double, merge_dist double")
 
 
-@query("pipeline_tn")
-def pipeline_tn(spark, d):
+@query("pipeline_hy_201_to_230")
+def pipeline_hy(spark, d):
+    """The watercourse theme from its first step to the import of connecting lines."""
     state = State(net.edges(spark, d), None, None, net.boundary(spark, d), net.land(spark, d), net.water(spark, d))
-    return rounded(run(state, "tn", Params()).edges.select("objectid", "country", *ENDS), *ENDS)
+    return rounded(run(state, "hy", HY, 201, 230).edges.select("objectid", "country", *ENDS), *ENDS)
