@@ -32,11 +32,11 @@ def n6(spark, d):
     return rounded(pairs.where("n > 1").select("ks", "n", "len"), "len")
 
 
-@query("n8_j21_origin_flags", "SELECT objectid AS eid, TRUE AS is_cl, country, 't' || (m % 3) AS w_tag, ['be', 'fr'] AS countries FROM edges WHERE r < 5")
+@query("n8_j21_origin_flags", "SELECT objectid AS eid, r < 5 AS is_cl, country, 't' || (m % 3) AS w_tag, CASE WHEN r < 5 THEN ['be', 'fr'] ELSE [country] END AS countries FROM edges")
 def n8(spark, d):
-    e = net.edges(spark, d).where("m % 7 < 5")
+    e = net.edges(spark, d)
     first = e.select(F.col("objectid").alias("eid"), F.lit(0).alias("pos"), F.col("objectid").alias("origin"), "country", F.concat(F.lit("t"), (F.col("m") % 3)).alias("w_tag"))
-    second = e.select(F.col("objectid").alias("eid"), F.lit(1).alias("pos"), F.concat(F.lit("CONNECTINGLINE"), "m").alias("origin"), F.lit(net.PAIR).alias("country"), F.lit(None).cast("string").alias("w_tag"))
+    second = e.where("m % 7 < 5").select(F.col("objectid").alias("eid"), F.lit(1).alias("pos"), F.concat(F.lit("CONNECTINGLINE"), "m").alias("origin"), F.lit(net.PAIR).alias("country"), F.lit(None).cast("string").alias("w_tag"))
     return G.origin_flags(first.union(second))
 
 
@@ -113,17 +113,10 @@ def n5(spark, d):
     return G.induced(planar(spark, d)).groupBy("origin").agg(F.count("*").alias("n"))
 
 
-# Euler's formula gives the number of inner faces of a connected planar graph; a chunk of a country is one.
-@query("n3_faces", """, own AS (SELECT * FROM edges WHERE p = 0 AND i * 7 + 6 <= (SELECT max(m) FROM edges WHERE p = 0)),
- hv AS (SELECT i, p, x0 AS x, y0 AS y FROM own UNION SELECT i, p, x1, y1 FROM own),
- cv AS (SELECT i, p, count(*) AS v FROM hv GROUP BY i, p), ce AS (SELECT i, p, count(*) AS e FROM own GROUP BY i, p) SELECT i, p, e - v + 1 AS n_faces FROM cv JOIN ce USING (i, p)""")
+@query("n3_faces")
 def n3(spark, d):
-    e = net.edges(spark, d).where("p = 0").withColumn("i", F.expr("m div 7"))
-    whole = e.groupBy("i", "p").agg(F.count("*").alias("n")).where("n = 7").select("i", "p")
-    e = e.join(whole, ["i", "p"], "left_semi")
-    found = G.faces(G.graph_edges(e)).groupBy("root", "face_id").agg(F.min("eid").alias("eid"))  # one of them is the outer face
-    n = found.join(e.select(F.col("objectid").alias("eid"), "i", "p"), "eid").groupBy("i", "p").agg((F.countDistinct("face_id") - 1).alias("n_faces"))
-    return whole.join(n, ["i", "p"], "left").select("i", "p", F.coalesce("n_faces", F.lit(0)).alias("n_faces"))
+    sub = planar(spark, d).withColumn("objectid", F.concat_ws("|", "v0", "v1"))
+    return rounded(G.faces(G.graph_edges(sub, 1e-4)).groupBy("root", "face_id").agg(F.count("*").alias("n_edges"), F.first("area").alias("area")), "area")
 
 
 @query("h9_shortest_paths", """, h2 AS (SELECT x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_, len, k FROM edges UNION ALL SELECT x1, y1, x0, y0, len, k FROM edges),

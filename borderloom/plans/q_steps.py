@@ -60,19 +60,19 @@ def step204_merge(spark, d):
     return C.merge_tagged_lines(M.cut(C.lines_in_areas(net.edges(spark, d), HY)))
 
 
-# The band is |y| <= 20 round the line y = 0; pieces of it cover every edge from end to end.
-_BAND = """, iv AS (SELECT *, greatest(0, CASE WHEN y1 > y0 THEN (-20 - y0) / (y1 - y0) WHEN y1 < y0 THEN (20 - y0) / (y1 - y0) WHEN abs(y0) <= 20 THEN 0 ELSE 2 END) AS t0,
- least(1, CASE WHEN y1 > y0 THEN (20 - y0) / (y1 - y0) WHEN y1 < y0 THEN (-20 - y0) / (y1 - y0) ELSE 1 END) AS t1 FROM edges WHERE least(x0, x1) > -10 + 175 * i AND greatest(x0, x1) < 165 + 175 * i),
- kept AS (SELECT * FROM iv WHERE t0 < t1 AND (t0 > 0 OR t1 < 1 OR abs(y1 - y0) / len < sin(radians(25.0))))"""
+# The band round a border piece is a rectangle; a piece's share of an edge is an interval of its parameter.
+_BAND = CLIP.replace("rects w", "bands w").replace(", clip AS", ", bands AS (SELECT 'B' || i AS poly_id, i, 175 * i - 10.0 AS xa, -20.0 AS ya, 175 * i + 165.0 AS xb, 20.0 AS yb FROM chunks), clip AS", 1) + """,
+ iv AS (SELECT * FROM clip WHERE t0 < t1), rn AS (SELECT *, (t0 - max(t1) OVER (PARTITION BY objectid ORDER BY t0, t1, poly_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) * len AS gap FROM iv),
+ fr AS (SELECT *, sum(CASE WHEN gap > 0.1 THEN 1 ELSE 0 END) OVER (PARTITION BY objectid ORDER BY t0, t1, poly_id) AS run FROM rn),
+ ag AS (SELECT objectid, min(t0) AS lo, max(t1) AS hi, sum(t1 - t0) AS inside FROM fr WHERE run = 0 GROUP BY objectid),
+ f1 AS (SELECT objectid, t0, t1 FROM fr QUALIFY row_number() OVER (PARTITION BY objectid ORDER BY t0, t1, poly_id) = 1)
+ SELECT objectid AS linked_feat_id, country, round(x0 + (x1 - x0) * t0, 6) + 0.0 AS x0, round(x0 + (x1 - x0) * t1, 6) + 0.0 AS x1 FROM edges JOIN ag USING (objectid) JOIN f1 USING (objectid)
+ WHERE CASE WHEN lo <= 0 AND hi >= 1 THEN abs(y1 - y0) / len < sin(radians(25.0)) ELSE inside > 0.6 * (hi - lo) END AND x0 <> x1"""
 
 
-@query("step210_lines_by_country", _BAND + " SELECT objectid AS linked_feat_id, country, round(x0 + (x1 - x0) * t0, 6) + 0.0 AS x0, round(x0 + (x1 - x0) * t1, 6) + 0.0 AS x1 FROM kept WHERE x0 <> x1")
+@query("step210_lines_by_country", _BAND)
 def step210(spark, d):
-    e = net.edges(spark, d)
-    i = F.expr("m div 7")
-    # edges of one border piece, so that SQL can leave the pieces out
-    one = e.where((F.least("x0", "x1") > -10 + 175 * i) & (F.greatest("x0", "x1") < 165 + 175 * i))
-    return rounded(M.lines_by_country(one, net.boundary(spark, d), TN).select("linked_feat_id", "country", "x0", "x1"), "x0", "x1")
+    return rounded(M.lines_by_country(net.edges(spark, d), net.boundary(spark, d), TN).select("linked_feat_id", "country", "x0", "x1"), "x0", "x1")
 
 
 @query("step211_merge_lines")
@@ -97,7 +97,7 @@ def step212(spark, d):
 @query("step213_delete_lines")
 def step213(spark, d):
     e = net.edges(spark, d)
-    return M.delete_lines(net.connecting_lines(spark, d), e.where("k % 11 <> 0"), TN).select("objectid")
+    return M.delete_lines(net.connecting_lines(spark, d), e, TN).select("objectid")
 
 
 _SIDE = "least(1, greatest(0, ((c.{x} - {s}.x0) * ({s}.x1 - {s}.x0) + (c.{y} - {s}.y0) * ({s}.y1 - {s}.y0)) / ({s}.len * {s}.len)))"
@@ -196,17 +196,20 @@ def d1(spark, d):
 
 
 def _tiny(spark, d):
-    return net.edges(spark, d).where("m % 7 < 5").withColumns({"x1": F.expr("case when k % 101 = 0 then x0 + 0.1D else x1 end"), "y1": F.expr("case when k % 101 = 0 then y0 else y1 end")})
+    return net.edges(spark, d).withColumns({"x1": F.expr("case when k % 101 = 0 then x0 + 0.1D else x1 end"), "y1": F.expr("case when k % 101 = 0 then y0 else y1 end")})
 
 
-@query("h7_clean_tiny_edges", "SELECT objectid FROM edges WHERE r < 5 AND k % 101 <> 0")
+@query("h7_clean_tiny_edges", "SELECT objectid FROM edges WHERE k % 101 <> 0")
 def h7(spark, d):
     return C.clean_tiny_edges(_tiny(spark, d), TN).select("objectid")
 
 
-@query("h8_clean_parallel_edges", "SELECT objectid FROM edges WHERE p = 0")
+@query("h8_clean_parallel_edges", """, tw AS (SELECT objectid, p, x0, y0, x1, y1 FROM edges UNION ALL SELECT 'copy' || objectid, p, x0, y0, x1, y1 FROM edges WHERE k % 97 = 0),
+ sc AS (SELECT *, least(x0 || ':' || y0, x1 || ':' || y1) AS a, greatest(x0 || ':' || y0, x1 || ':' || y1) AS b, round(CASE WHEN y0 = y1 THEN CASE WHEN (p = 0) = (y0 > 0) THEN 1 ELSE 0 END
+  WHEN p = 0 THEN (greatest(0, greatest(y0, y1)) - greatest(0, least(y0, y1))) / abs(y1 - y0) ELSE (least(0, greatest(y0, y1)) - least(0, least(y0, y1))) / abs(y1 - y0) END, 9) AS score FROM tw)
+ SELECT objectid FROM sc QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY score DESC, length(objectid), objectid) = 1""")
 def h8(spark, d):
-    e = net.edges(spark, d).where("p = 0")
+    e = net.edges(spark, d)
     twice = e.where("k % 97 = 0").withColumns({"objectid": F.concat(F.lit("copy"), "objectid")})
     return C.clean_parallel_edges(e.union(twice), net.land(spark, d), TN).select("objectid")
 
@@ -224,9 +227,9 @@ def a5(spark, d):
     return rounded(C.path_ratio(e).join(C.fictitious_share(e, HY).drop("length"), "chain"), "length", "ratio", "share")
 
 
-@query("n21_removable", "SELECT m AS path FROM edges WHERE p = 0 AND k % 11 <> 0")
+@query("n21_removable", "SELECT m AS path FROM (SELECT *, count(*) OVER (PARTITION BY x0, y0, x1, y1) AS n FROM edges) GROUP BY m HAVING bool_and(k % 11 <> 0 AND n = 1)")
 def n21(spark, d):
-    g = G.graph_edges(net.edges(spark, d).where("p = 0"))
+    g = G.graph_edges(net.edges(spark, d))
     feature = F.when(F.col("k") % 11 == 0, F.concat(F.lit("CONNECTINGLINE"), "k")).otherwise(F.col("objectid"))
     paths = g.select(F.col("m").alias("path"), "v0", "v1")
     return C.removable(paths, g.select(feature.alias("origin"), "v0", "v1"))

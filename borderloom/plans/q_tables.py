@@ -73,9 +73,9 @@ def s13(spark, d):
     return tables.reset_column(e, "w_tag").select("objectid", "fictitious", "w_tag")
 
 
-@query("s15_sequential_ids", "SELECT 'CONNECTINGPOINT' || row_number() OVER (ORDER BY k) AS id, k FROM edges WHERE r = 5")
+@query("s15_sequential_ids", "SELECT 'CONNECTINGPOINT' || row_number() OVER (ORDER BY k) AS id, k FROM edges")
 def s15(spark, d):
-    return tables.with_ids(net.edges(spark, d).where("m % 7 = 5").select("k"), "CONNECTINGPOINT", ["k"], "id").select("id", "k")
+    return tables.with_ids(net.edges(spark, d).select("k"), "CONNECTINGPOINT", ["k"], "id").select("id", "k")
 
 
 @query("s20_import_connecting_lines", "SELECT objectid, country, fictitious FROM edges UNION ALL SELECT objectid, country, NULL FROM cls")
@@ -195,13 +195,13 @@ def j5(spark, d):
     return rounded(near.select(F.col("p_id").alias("objectid"), F.col("s_id").alias("cl"), "dist"), "dist")
 
 
-_NEAR = """, a AS (SELECT k, x0 AS x, y0 AS y, i FROM edges WHERE p = 0 AND r < 6), b AS (SELECT k, x0 AS x, y0 AS y, i FROM edges WHERE p = 1 AND r < 6),
+_NEAR = """, a AS (SELECT k, x0 AS x, y0 AS y, i FROM edges WHERE p = 0), b AS (SELECT k, x0 AS x, y0 AS y, i FROM edges WHERE p = 1),
  pairs AS (SELECT a.k AS a_id, b.k AS b_id, sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) AS dist FROM a JOIN b ON b.i BETWEEN a.i - 1 AND a.i + 1 WHERE dist < 10),
  ranked AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY round(dist, 9), b_id) AS ra, row_number() OVER (PARTITION BY b_id ORDER BY round(dist, 9), a_id) AS rb FROM pairs)"""
 
 
 def _starts(spark, d, p):
-    return net.edges(spark, d).where(f"p = {p} and m % 7 < 6").select(F.col("k").alias("id"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+    return net.edges(spark, d).where(f"p = {p}").select(F.col("k").alias("id"), F.col("x0").alias("x"), F.col("y0").alias("y"))
 
 
 @query("j7_points_near", _NEAR + " SELECT a_id, b_id, round(dist, 6) + 0.0 AS dist FROM pairs")

@@ -162,6 +162,24 @@ def test_faces_of_a_square_with_a_tail(spark):
     assert sorted(f.groupby("face_id").area.first().round(6)) == [-100, 100] and f[f.area > 0].eid.nunique() == 4 and len(f) == 10
 
 
+def test_faces_obey_euler(spark, sf):
+    from borderloom.plans.q_graph import planar
+
+    e = planar(spark, sf).select("v0", "v1").toPandas()
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in zip(e.v0, e.v1):
+        parent[find(a)] = find(b)
+    f = catalog.queries()["n3_faces"](spark, sf).toPandas()
+    assert len(f) == len(e) - len(parent) + 2 * len({find(x) for x in list(parent)})
+    assert (f.area <= 1e-6).sum() == f.root.nunique() and abs(f.area.sum()) < 1e-3 and f.n_edges.sum() == 2 * len(e)
+
+
 def test_chains_and_antennas(spark):
     e = edges(spark, (1, 0, 0, 10, 0), (2, 10, 0, 20, 0), (3, 20, 0, 30, 0), (4, 20, 0, 20, 10), (5, 100, 0, 101, 0), (6, 101, 0, 100, 1), (7, 100, 1, 100, 0))
     ch = {r.eid: (r.chain, r.n_edges) for r in graph.chains(graph.graph_edges(e)).collect()}
