@@ -31,7 +31,7 @@ SYMBOL[SPACE] = 0
 
 
 def gram_codes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram that ends at each symbol of the texts, and where each text begins among them.
+    """The 4-gram that ends at each symbol of the texts, and the symbols before each byte.
 
     Before the first symbol of a text stands white space.
     """
@@ -57,7 +57,7 @@ def gram_codes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
             back[edge[edge < len(s)]] = 0
         # a text shorter than k symbols is followed by another text's start, whose own edges are reset there
         codes |= back << np.uint32(BITS * k)
-    return codes, at
+    return codes, total
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:

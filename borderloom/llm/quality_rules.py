@@ -1,12 +1,14 @@
 """Quality rules: base counts of a text and language-specific perplexity bands.
 
-Spark counts the 4-grams of every document by language (a map task adds up its
-own first, so a language is never gathered in one task but as at most GRAMS
-sums).  A task for each language turns its sums into a modified Kneser-Ney
-model in sorted hash arrays.  A language's model is bounded by the alphabet, not
-by the corpus; models are broadcast in runs of languages of at most MODEL_BYTES
-in all, and documents pass through each run, so any number of languages is
-scored in bounded memory.
+The language model is one of words (word_model.py), which grows with the corpus:
+its entries are broadcast in shards of SHARD_ENTRIES, documents pass through
+each, and each adds its share to the log probability of a text.
+
+Words it hasn't seen are spelled by a character model (kn_model.py).  Spark counts
+the 4-grams of every document by language (a map task adds up its own first, so a
+language is never gathered in one task but as at most GRAMS sums).  A task for
+each language turns its sums into a modified Kneser-Ney model in sorted hash
+arrays, which are broadcast in runs of languages of at most MODEL_BYTES in all.
 
 The perplexity of a text is per word that has a letter or digit.  Its logarithm
 is held against a band of its language: BAND interquartile ranges below the
@@ -23,15 +25,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from .arrow_text import chunks, trimmed
 from .kn_model import GRAMS, Model, build, gram_codes
 from .store import stage, unused
 from .text_stats import text_stats
+from .word_model import Shard, bigrams, folds, packed, tables, tokens
 
 BAND = 5.0
 LEAST_SPREAD = 0.03  # of the median: the interquartile range counts as at least this
 MODEL_BYTES = 128 << 20
+SHARD_ENTRIES = 6 << 20  # of 16 bytes
 HELD_LANGUAGES = 16
 COUNTED = 1 << 20
 
@@ -56,7 +61,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             names, langs = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
             for texts in chunks(batch.column(1), COUNTED):
-                codes, at = gram_codes(texts)
+                codes, total = gram_codes(texts)
+                at = total[texts.offsets]
                 here = langs[texts.first : texts.first + len(texts)].astype(np.int32)
                 owner = np.repeat(here, np.diff(at))
                 for k in np.unique(here):
@@ -84,32 +90,83 @@ def models(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return gram_counts(pairs).groupBy("lang").applyInArrow(_build, "lang string, keys binary, logp binary, weight binary")
 
 
-def _scored(docs: DataFrame, shared, where_lang: int, where_text: int, names: list[str], schema: str) -> DataFrame:
+def _log_probabilities(texts, langs: list[str], arrays: dict, made: dict, unseen: dict, shard: Shard, first: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text, what a shard adds to its words' log probabilities, with the spelling of all words in the first, and the words that text without spaces was cut into beyond its own."""
+    codes, total = gram_codes(texts)
+    v, w, words = bigrams(texts, langs)
+    n = np.diff(words.first)
+    fold = folds(texts)
+    base = np.zeros(len(texts))
+    spelled = np.zeros(len(w))
+    at = total[texts.offsets]
+    for k, lang in enumerate(langs):
+        if n[k]:
+            if lang not in made:
+                made[lang] = Model(*(np.frombuffer(x, kind) for x, kind in zip(arrays[lang], (np.uint64, np.float32, np.float32))))
+            base[k] = unseen[lang][1 - fold[k]]
+            own = slice(words.first[k], words.first[k + 1])
+            sums = np.concatenate([[0.0], np.cumsum(made[lang].scores(codes[at[k] : at[k + 1]]), dtype=np.float64)])
+            spelled[own] = sums[total[words.end[own]] - at[k]] - sums[total[words.start[own]] - at[k]]
+    each = shard.scores(v, w, np.repeat(fold, n), spelled)
+    if first:
+        each += spelled + np.repeat(base, n)
+    sums = np.concatenate([[0.0], np.cumsum(each)])
+    return sums[words.first[1:]] - sums[words.first[:-1]], n
+
+
+def _key(lang: str, text: bytes) -> bytes:
+    return xxh3_128_digest(lang.encode() + b"\0" + text)
+
+
+def _parts(docs: DataFrame, shared, words, first: bool) -> DataFrame:
+    """Rows (key, part) of (lang, text): what a shard adds to a text's log probability."""
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays, unseen = shared.value
+        made: dict[str, Model] = {}
+        shard = Shard(*words.value)
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            for texts in chunks(batch.column(1)):
+                here = langs[texts.first : texts.first + len(texts)]
+                logs, _ = _log_probabilities(texts, here, arrays, made, unseen, shard, first)
+                keys = [_key(x, texts.data[a:b].tobytes()) for x, a, b in zip(here, texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(logs)], ["key", "part"])
+
+    return docs.mapInArrow(run, "key binary, part double")
+
+
+def _scored(docs: DataFrame, shared, words, where_lang: int, where_text: int, names: list[str], schema: str, instead: tuple[str, str] = ("", "")) -> DataFrame:
+    """``docs`` with STATS; without ``words`` two columns ``instead`` of log_perplexity: the text's key, and the number of words its sum is divided by."""
+
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = shared.value
+        arrays, unseen = shared.value if words else ({}, {})
         made: dict[str, Model] = {}
+        shard = Shard(*words.value) if words else None
         for batch in batches:
-            langs = batch.column(where_lang).to_pylist()
+            langs = [x or "" for x in batch.column(where_lang).cast(pa.string()).to_pylist()]
             for texts in chunks(batch.column(where_text)):
                 part = batch.slice(texts.first, len(texts))
+                here = langs[texts.first : texts.first + len(texts)]
                 stats = text_stats(texts, _NEEDED)
-                codes, at = gram_codes(texts)
-                logs = []
-                for k in range(len(texts)):
-                    lang = langs[texts.first + k] or ""
-                    words = int(stats["n_lexical"][k])
-                    if not words or lang not in arrays:
-                        logs.append(None)
-                        continue
-                    if lang not in made:
-                        made[lang] = Model(*(np.frombuffer(x, kind) for x, kind in zip(arrays[lang], (np.uint64, np.float32, np.float32))))
-                    logs.append(float(-made[lang].scores(codes[at[k] : at[k + 1]]).sum(dtype=np.float64) / words))
                 n, again = stats["n_words"], stats["n_repeat_words"]
                 base = (n < 50) | (100 * again > 50 * n)
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(stats[x], pa.int64()) for x in BASE), pa.array(base), pa.array(logs, pa.float64())], [*names, *STATS])
-
-    return docs.mapInArrow(run, schema)
+                if words:
+                    logs, cut = _log_probabilities(texts, here, arrays, made, unseen, shard, True)
+                else:
+                    cut = np.diff(tokens(texts).first)
+                lexical = stats["n_lexical"]
+                per = np.where(lexical > 0, lexical + cut - n, 0)
+                if words:
+                    last = [pa.array([-x / k if k else None for x, k in zip(logs.tolist(), per.tolist())], pa.float64())]
+                else:
+                    keys = [_key(x, texts.data[a:b].tobytes()) for x, a, b in zip(here, texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())]
+                    last = [pa.array(keys, pa.binary()), pa.array(per, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(stats[x], pa.int64()) for x in BASE), pa.array(base), *last], [*names, *STATS[:-1], *(["log_perplexity"] if words else instead)])
+
+    return docs.mapInArrow(run, schema + ("log_perplexity double" if words else f"`{instead[0]}` binary, `{instead[1]}` long"))
 
 
 def _runs(found: DataFrame) -> list[list[str]]:
@@ -128,21 +185,34 @@ def score(spark: SparkSession, docs: DataFrame, lang_col: str, text_col: str) ->
     """``docs`` with STATS."""
     docs = docs.drop(*STATS)
     found = stage(models(docs, lang_col, text_col), "perplexity-models")
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
+    pairs = docs.select(lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
+    entries, unseen = tables(pairs)
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
     names = docs.columns
     where_lang, where_text = names.index(lang_col), names.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + ", ".join(f"{x} long" for x in BASE) + ", base_failed boolean, log_perplexity double"
-    out = None
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema) + "".join(f"{x} long, " for x in BASE) + "base_failed boolean, "
     runs = _runs(found)
+    size = {r.lang: r.n for r in entries.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    parts = None
     for langs in runs:
-        shared = spark.sparkContext.broadcast({r.lang: (bytes(r["keys"]), bytes(r.logp), bytes(r.weight)) for r in found.where(F.col("lang").isin(langs)).collect()})
-        here = docs if len(runs) == 1 else docs.where(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).isin(langs))
-        part = _scored(here, shared, where_lang, where_text, names, schema)
-        out = part if out is None else out.union(part)
-    if len(runs) > 1:  # texts without a symbol are in no model
-        rest = docs.join(found.select(F.col("lang").alias("_l")), F.coalesce(F.col(lang_col).cast("string"), F.lit("")) == F.col("_l"), "left_anti")
-        out = out.union(_scored(rest, spark.sparkContext.broadcast({}), where_lang, where_text, names, schema))
-    return out
+        of = {r.lang: (bytes(r["keys"]), bytes(r.logp), bytes(r.weight)) for r in found.where(F.col("lang").isin(langs)).collect()}
+        shared = spark.sparkContext.broadcast((of, {x: unseen[x] for x in langs if x in unseen}))
+        shards = max(1, -(-sum(size.get(x, 0) for x in langs) // SHARD_ENTRIES))
+        for k in range(shards):
+            mine = entries.where(F.col("lang").isin(langs) & (F.pmod(F.xxhash64("v", "w"), F.lit(shards)) == k))
+            words = spark.sparkContext.broadcast(packed(mine.select("v", "w", "la", "lb").toArrow()))
+            if len(runs) == shards == 1:
+                return _scored(docs, shared, words, where_lang, where_text, names, schema)
+            here = _parts(pairs.where(F.col("lang").isin(langs)), shared, words, k == 0).withColumn("shard", F.lit(k))
+            parts = here if parts is None else parts.union(here)
+    # equal texts have equal parts: one of each shard counts
+    key, per, total = (unused([*names, *STATS], x) for x in ("_key", "_per", "_sum"))
+    sums = parts.groupBy("key", "shard").agg(F.first("part").alias("part")).groupBy(F.col("key").alias(key)).agg(F.sum("part").alias(total))
+    sums = stage(sums, "log-probabilities")
+    rows = _scored(docs, None, None, where_lang, where_text, names, schema, (key, per))
+    rows = rows.join(F.broadcast(sums) if sums.count() <= 1_000_000 else sums, key, "left")
+    return rows.withColumn("log_perplexity", F.when(F.col(per) > 0, -F.col(total) / F.col(per))).drop(key, per, total)
 
 
 def bands(scored: DataFrame, lang_col: str) -> DataFrame:

@@ -1,0 +1,197 @@
+"""A modified Kneser-Ney model of word bigrams for each language, over hashed words.
+
+A word's hash covers its language; text without spaces (Han, Kana) is cut at
+each code point.  Nothing bounds the vocabulary or the bigrams: counts, contexts
+and continuations are tables that Spark keeps partitioned by hash.
+
+Texts are dealt into two folds by a hash of their bytes, so equal texts share
+one, and a text is scored by the counts of the other fold: a text that nobody
+else repeats doesn't vouch for itself.  The log probability of a word is a sum:
+the mass the language keeps for unseen words times the word's spelling by the
+character model; for a known word, what its continuations give instead; for a
+known context, the weight of its lower order; for a known bigram, what that adds.
+So only words, contexts and bigrams of both folds have an entry, and the entries
+can be looked up in any shards in any order.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
+
+from .arrow_text import SPACE, Texts, Words, chunks, mix, span_hashes, trimmed
+from .store import discard, stage
+
+HELD_BIGRAMS = 1 << 20
+SMALL = 200_000  # rows of a table that is broadcast in a join
+CONTEXT, WORD = 1, 2  # in the place of the missing word
+_LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def tokens(texts: Texts) -> Words:
+    """Words outside white space, cut before and after each code point from U+3000 to U+9FFF."""
+    data = texts.data
+    inside = ~SPACE[data]
+    lead = (data >= 0xE3) & (data <= 0xE9)
+    begin = inside & ((data & 0xC0) != 0x80)
+    before = np.ones(len(data), bool)  # a word may begin here: after white space or such a code point
+    before[1:] = ~inside[:-1]
+    before[3:] |= lead[:-3]
+    edge = texts.offsets[:-1]
+    before[edge[edge < len(data)]] = True
+    start = np.flatnonzero(begin & (before | lead))
+    # a word ends where the next one begins, less the white space between
+    gap = np.flatnonzero(~inside)
+    end = np.append(start[1:], len(data))
+    if len(gap) and len(start):
+        at = np.searchsorted(gap, start)
+        space = np.where(at < len(gap), gap[np.minimum(at, len(gap) - 1)], len(data))
+        end = np.minimum(end, space)
+    return Words(start, end, np.searchsorted(start, texts.offsets))
+
+
+def pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(v * _LEFT + mix(w) * _RIGHT)
+
+
+def bigrams(texts: Texts, langs: list[str]) -> tuple[np.ndarray, np.ndarray, Words]:
+    """Of each word the hash of the one before it (of the language at a text's start) and its own, and the words."""
+    w = tokens(texts)
+    salt = np.array([xxh3_64_intdigest(x) for x in langs], np.uint64)
+    n = np.diff(w.first)
+    right = mix(span_hashes(texts.data, w.start, w.end, fold=True) ^ np.repeat(salt, n))
+    left = np.zeros(len(right), np.uint64)
+    left[1:] = right[:-1]
+    left[w.first[:-1][n > 0]] = mix(salt[n > 0])
+    return left, right, w
+
+
+def folds(texts: Texts) -> np.ndarray:
+    return np.array([xxh3_64_intdigest(texts.data[a:b].tobytes()) & 1 for a, b in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())], np.int64)
+
+
+def counts(docs: DataFrame) -> DataFrame:
+    """Rows (lang, v, w, a, b) of (lang, text): a bigram's count in either fold, over all documents."""
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                v, w, f = (np.concatenate([p[k] for p in parts]) for k in range(3))
+                _, first, at = np.unique(pair(v, w), return_index=True, return_inverse=True)
+                b = np.bincount(at, f, len(first)).astype(np.int64)
+                a = np.bincount(at, minlength=len(first)) - b
+                for k in range(0, len(first), 100_000):
+                    i = slice(k, k + 100_000)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first[i]), pa.string()), pa.array(v[first[i]].view(np.int64)), pa.array(w[first[i]].view(np.int64)), pa.array(a[i]), pa.array(b[i])], ["lang", "v", "w", "a", "b"])
+            held.clear()
+
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            for texts in chunks(batch.column(1)):
+                here = langs[texts.first : texts.first + len(texts)]
+                v, w, words = bigrams(texts, here)
+                n = np.diff(words.first)
+                fold = np.repeat(folds(texts), n)
+                names, which = np.unique(np.array(here, object), return_inverse=True)
+                owner = np.repeat(which, n)
+                for k, lang in enumerate(names):
+                    mine = owner == k
+                    held.setdefault(lang, []).append((v[mine], w[mine], fold[mine].astype(np.int8)))
+                size += len(v)
+                if size >= HELD_BIGRAMS:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    rows = docs.mapInArrow(run, "lang string, v long, w long, a long, b long")
+    return rows.groupBy("lang", "v", "w").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+
+def _counts_of(x: str, name: str) -> list[Column]:
+    return [F.count_if(F.col(x) == k).cast("double").alias(f"{name}{k}") for k in (1, 2, 3, 4)]
+
+
+def _discounts(n: str) -> list[Column]:
+    """Chen and Goodman's D1, D2, D3+ from the counts of counts, each within (0, count)."""
+    y = F.when(F.col(f"{n}1") > 0, F.col(f"{n}1") / (F.col(f"{n}1") + 2 * F.col(f"{n}2"))).otherwise(0.5)
+    d = [F.when(F.col(f"{n}{k}") > 0, k - (k + 1) * y * F.col(f"{n}{k + 1}") / F.col(f"{n}{k}")).otherwise(0.5 * k) for k in (1, 2, 3)]
+    return [F.greatest(F.lit(0.05 * k), F.least(F.lit(0.95 * k), x)).alias(f"d{n}{k}") for k, x in enumerate(d, 1)]
+
+
+def _less(count: str, n: str) -> Column:
+    c = F.col(count)
+    return c - F.when(c >= 3, F.col(f"d{n}3")).when(c == 2, F.col(f"d{n}2")).when(c == 1, F.col(f"d{n}1")).otherwise(0.0)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
+def tables(docs: DataFrame) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+    """Rows (lang, v, w, la, lb) of (lang, text): the terms of log probabilities by the counts of either fold; and of each language the log mass of unseen words."""
+    c = stage(counts(docs), "bigrams")
+    per_fold = lambda f: [e for x in "ab" for e in f(x)]
+    context = c.groupBy("lang", "v").agg(*per_fold(lambda x: [F.sum(x).alias(f"t{x}"), F.count_if(F.col(x) == 1).alias(f"{x}_1"), F.count_if(F.col(x) == 2).alias(f"{x}_2"), F.count_if(F.col(x) >= 3).alias(f"{x}_3")]))
+    context = stage(context.where("ta > 0 and tb > 0"), "contexts")
+    after = stage(c.groupBy("lang", "w").agg(*[F.count_if(F.col(x) > 0).alias(f"k{x}") for x in "ab"]), "continuations")
+    of_pairs = c.groupBy("lang").agg(*per_fold(lambda x: _counts_of(x, x)))
+    of_words = after.groupBy("lang").agg(*per_fold(lambda x: [*_counts_of(f"k{x}", f"k{x}"), F.sum(f"k{x}").alias(f"s{x}"), F.count_if(F.col(f"k{x}") >= 3).alias(f"m{x}")]))
+    d = of_pairs.join(of_words, "lang").select("*", *per_fold(lambda x: [*_discounts(x), *_discounts(f"k{x}")]))
+    d = stage(d.select("lang", *per_fold(lambda x: [
+        *[f"d{x}{k}" for k in (1, 2, 3)], *[f"dk{x}{k}" for k in (1, 2, 3)], f"s{x}",
+        F.when(F.col(f"s{x}") > 0, (F.col(f"dk{x}1") * F.col(f"k{x}1") + F.col(f"dk{x}2") * F.col(f"k{x}2") + F.col(f"dk{x}3") * F.col(f"m{x}")) / F.col(f"s{x}")).otherwise(1.0).alias(f"g{x}"),
+    ])), "discounts")
+    gamma = lambda x: (F.col(f"d{x}1") * F.col(f"{x}_1") + F.col(f"d{x}2") * F.col(f"{x}_2") + F.col(f"d{x}3") * F.col(f"{x}_3")) / F.col(f"t{x}")
+    lower = lambda x: _less(f"k{x}", f"k{x}") / F.col(f"s{x}")
+    term = lambda f: [F.log(f(x)).cast("float").alias(f"l{x}") for x in "ab"]
+    small = _small(d)
+    contexts = stage(context.join(small, "lang").select("lang", "v", "ta", "tb", gamma("a").alias("ya"), gamma("b").alias("yb")), "context-weights")
+    known = stage(after.where("ka > 0 and kb > 0").join(small, "lang").select("lang", "w", lower("a").alias("pa"), lower("b").alias("pb"), "ga", "gb"), "word-weights")
+    both = c.where("a > 0 and b > 0").join(_small(contexts), ["lang", "v"]).join(_small(known.drop("ga", "gb")), ["lang", "w"]).join(small, "lang")
+    here = [F.lit(x).cast("long") for x in (CONTEXT, WORD)]
+    out = both.select("lang", "v", "w", *term(lambda x: 1 + _less(x, x) / F.col(f"t{x}") / (F.col(f"y{x}") * F.col(f"p{x}"))))
+    out = out.union(contexts.select("lang", "v", here[0], *term(lambda x: F.col(f"y{x}")))).union(known.select("lang", here[1], "w", *term(lambda x: F.col(f"p{x}") / F.col(f"g{x}"))))
+    out = stage(out, "word-model")
+    unseen = {r.lang: (float(np.log(r.ga)), float(np.log(r.gb))) for r in d.select("lang", "ga", "gb").collect()}
+    for used in (c, context, after, d, contexts, known):
+        discard(used)
+    return out, unseen
+
+
+def packed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, and the terms of either fold."""
+    column = lambda n: rows.column(n).to_numpy()
+    keys = pair(column("v").view(np.uint64), column("w").view(np.uint64))
+    order = np.argsort(keys)
+    return keys[order], column("la")[order], column("lb")[order]
+
+
+class Shard:
+    """Some entries in arrays sorted by key."""
+
+    def __init__(self, keys: np.ndarray, la: np.ndarray, lb: np.ndarray):
+        self.keys, self.la, self.lb = keys, la, lb
+
+    def _terms(self, v: np.ndarray, w: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, back = np.unique(pair(v, w), return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        here, at = (self.keys[at] == keys)[back], at[back]
+        return np.where(here, np.where(fold == 0, self.lb[at], self.la[at]), 0.0), here  # fold 0 by the counts of fold 1
+
+    def scores(self, v: np.ndarray, w: np.ndarray, fold: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """What the shard's entries add to the log probability of each word; ``spelled`` is the unseen word's."""
+        if not len(self.keys) or not len(v):
+            return np.zeros(len(v))
+        word, known = self._terms(np.full(len(w), WORD, np.uint64), w, fold)
+        out = word - np.where(known, spelled, 0.0)
+        out += self._terms(v, np.full(len(v), CONTEXT, np.uint64), fold)[0]
+        return out + self._terms(v, w, fold)[0]
