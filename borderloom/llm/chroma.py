@@ -36,6 +36,7 @@ CUTS = (-0.12, 0.0, 0.12)
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 MOST_ERRORS = 0.35
 BLOCK_BYTES = 16 << 20
+MATCHES = "array<struct<match: bigint, match_offset: bigint, overlap: bigint, bit_error_rate: double>>"
 
 
 def pitch_matrix(rate: int, frame: int) -> np.ndarray:
@@ -150,8 +151,8 @@ class QueryBlock:
         self.owner = np.repeat(np.arange(len(marks)), [len(k) for k, _ in marks])[order]
         self.place = (np.concatenate([p for _, p in marks]) if marks else key)[order]
 
-    def best(self, x: np.ndarray, most_errors: float, least_overlap: int) -> tuple[float, int, int, int] | None:
-        """(bit error rate, minus overlap, query, offset) of the best aligned query, if there is one."""
+    def best(self, x: np.ndarray, most_errors: float, least_overlap: int, own: int | None = None) -> tuple[float, int, int, int] | None:
+        """(bit error rate, minus overlap, query, offset) of the best aligned query other than ``own``, if there is one."""
         key, place = landmarks(x)
         lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         n = hi - lo
@@ -164,6 +165,8 @@ class QueryBlock:
         first = order[np.unique(pairs[order, 0], return_index=True)[1]]  # a query's offset of most votes, the smaller of equal ones
         found = None
         for q, at in pairs[first].tolist():
+            if self.names[q] == own:
+                continue
             overlap, errors = bit_errors(self.prints[q], x, at)
             if overlap >= least_overlap and errors <= most_errors * 32 * overlap:
                 rated = (errors / (32.0 * overlap), -overlap, self.names[q], at)
@@ -179,7 +182,7 @@ def landmarks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_errors: float = MOST_ERRORS, least_overlap: int = WIDTH, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
-    """Rows (id, n_items, class_id, match, match_offset, overlap, bit_error_rate) for every recording.
+    """Rows (id, n_items, class_id, match, match_offset, overlap, bit_error_rate, matches) for every recording.
 
     class_id is the smallest id with an equal fingerprint (its own id where there
     is none).  match is the id of the query class (``is_query`` of a column of
@@ -187,7 +190,9 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
     with over ``least_overlap`` integers or more at the smallest bit error rate up
     to ``most_errors``; longer overlaps, then smaller ids win ties.  A recording
     in a query's class matches it at offset 0 without errors.  match_offset is
-    the recording's first integer's place in the match.
+    the recording's first integer's place in the match.  matches, on the rows whose
+    id is the class_id, has the best of the other query classes of each block that
+    the class is aligned with within the limits, classes with a query included.
 
     Query classes go to the executors in blocks of about ``block_bytes``, and
     every class is held against every block; a class is held once, however many
@@ -213,22 +218,24 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
             block = None
             for batch in batches:
                 block = block or QueryBlock(*shared.value)
-                best = [block.best(np.frombuffer(x, "<u4"), most_errors, least_overlap) for x in batch.column(1).to_pylist()]
+                best = [block.best(np.frombuffer(x, "<u4"), most_errors, least_overlap, own) for x, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
                 kept = [(c, *r) for c, r in zip(batch.column(0).to_pylist(), best) if r]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate((pa.binary(), pa.float64(), pa.int64(), pa.int64(), pa.int64()))], ["class", "rate", "short", "query", "offset"])
 
-        part = classes.where("query is null").select("class", "items").mapInArrow(run, "class binary, rate double, short long, query long, offset long")
+        part = classes.select("class", "items", "query").mapInArrow(run, "class binary, rate double, short long, query long, offset long")
         found = part if found is None else found.union(part)
-    top = found.groupBy("class").agg(F.min(F.struct("rate", "short", "query", "offset")).alias("m"))
+    one = F.struct("rate", "short", "query", "offset")
+    top = found.groupBy("class").agg(F.min(one).alias("m"), F.sort_array(F.collect_list(one)).alias("all"))
     named = classes.select("class", "class_id", "query").join(top, "class", "left").withColumnRenamed("class", "of")
     own = F.col("query").isNotNull()
     # recordings without integers have no class; they stay out of the join, where they would be one key
-    without = prints.where("class is null").select("id", "n_items", F.col("id").alias("class_id"), *[F.lit(None).cast(t).alias(n) for n, t in (("match", "long"), ("match_offset", "long"), ("overlap", "long"), ("bit_error_rate", "double"))])
+    without = prints.where("class is null").select("id", "n_items", F.col("id").alias("class_id"), *[F.lit(None).cast(t).alias(n) for n, t in (("match", "long"), ("match_offset", "long"), ("overlap", "long"), ("bit_error_rate", "double"), ("matches", MATCHES))])
     found = known.join(named, known["class"] == named["of"]).select(
         "id", "n_items", "class_id",
         F.when(own, F.col("query")).otherwise(F.col("m.query")).alias("match"),
         F.when(own, F.lit(0)).otherwise(F.col("m.offset")).cast("long").alias("match_offset"),
         F.when(own, F.col("n_items")).otherwise(-F.col("m.short")).alias("overlap"),
         F.when(own, F.lit(0.0)).otherwise(F.col("m.rate")).alias("bit_error_rate"),
+        F.when(F.col("id").eqNullSafe(F.col("class_id")), F.transform("all", lambda x: F.struct(x["query"].alias("match"), x["offset"].alias("match_offset"), (-x["short"]).alias("overlap"), x["rate"].alias("bit_error_rate")))).alias("matches"),
     )
     return found.union(without)

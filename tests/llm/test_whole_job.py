@@ -3,9 +3,11 @@
 import numpy as np
 import pyarrow as pa
 
-from borderloom.llm import quality_rules, word_model
+from borderloom.llm import chroma, quality_rules, word_model
 from borderloom.llm.arrow_text import chunks
 
+from .test_operators import tone
+
 
 def test_word_salad_costs_more(spark, monkeypatch):
     rng = np.random.default_rng(2)
@@ -32,3 +34,22 @@ def test_word_model_grows(spark):
     assert entries(400) > 5 * entries(50)
     cut = word_model.tokens(next(chunks(pa.array(["漢字 ab漢c  d\n", "", "é x"]))))
     assert cut.first.tolist() == [0, 6, 6, 8]
+
+
+def noise(rng, pcm):
+    return (np.frombuffer(pcm, np.uint8).astype(int) + rng.integers(-4, 5, len(pcm))).clip(0, 255).astype(np.uint8).tobytes()
+
+
+def aligned(spark, rows, **options):
+    got = chroma.align(spark.createDataFrame(rows, "id long, pcm binary"), "id", "pcm", lambda i: i % 100 == 0, **options)
+    return {r.id: r for r in got.collect()}
+
+
+def test_chroma_queries_match_each_other(spark):
+    rng = np.random.default_rng(5)
+    base = tone(rng, 12_000)
+    got = aligned(spark, [(100, base), (200, noise(rng, base)), (300, tone(rng, 12_000))])
+    assert got[100].match == 100 and got[200].match == 200
+    assert [(m.match, m.match_offset) for m in got[100].matches if m.bit_error_rate < 0.2] == [(200, 0)]
+    assert [(m.match, m.match_offset) for m in got[200].matches if m.bit_error_rate < 0.2] == [(100, 0)]
+    assert all(m.match != i for i, r in got.items() for m in r.matches or [])
