@@ -151,26 +151,25 @@ class QueryBlock:
         self.owner = np.repeat(np.arange(len(marks)), [len(k) for k, _ in marks])[order]
         self.place = (np.concatenate([p for _, p in marks]) if marks else key)[order]
 
-    def best(self, x: np.ndarray, most_errors: float, least_overlap: int, own: int | None = None) -> tuple[float, int, int, int] | None:
-        """(bit error rate, minus overlap, query, offset) of the best aligned query other than ``own``, if there is one."""
+    def aligned(self, x: np.ndarray, most_errors: float, least_overlap: int, own: int | None = None) -> list[tuple[float, int, int, int]]:
+        """(bit error rate, minus overlap, query, offset) of every aligned query other than ``own``."""
         key, place = landmarks(x)
         lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         n = hi - lo
         if not n.sum():
-            return None
+            return []
         hit = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         owner, offset = self.owner[hit], self.place[hit] - np.repeat(place, n)
         pairs, votes = np.unique(np.stack([owner, offset], 1), axis=0, return_counts=True)
         order = np.lexsort((pairs[:, 1], -votes, pairs[:, 0]))
         first = order[np.unique(pairs[order, 0], return_index=True)[1]]  # a query's offset of most votes, the smaller of equal ones
-        found = None
+        found = []
         for q, at in pairs[first].tolist():
             if self.names[q] == own:
                 continue
             overlap, errors = bit_errors(self.prints[q], x, at)
             if overlap >= least_overlap and errors <= most_errors * 32 * overlap:
-                rated = (errors / (32.0 * overlap), -overlap, self.names[q], at)
-                found = rated if found is None else min(found, rated)
+                found.append((errors / (32.0 * overlap), -overlap, self.names[q], at))
         return found
 
 
@@ -191,12 +190,13 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
     to ``most_errors``; longer overlaps, then smaller ids win ties.  A recording
     in a query's class matches it at offset 0 without errors.  match_offset is
     the recording's first integer's place in the match.  matches, on the rows whose
-    id is the class_id, has the best of the other query classes of each block that
-    the class is aligned with within the limits, classes with a query included.
+    id is the class_id, has every other query class that the class is aligned with
+    within the limits, at the offset of most votes, best first; classes with a query
+    have theirs as well.
 
     Query classes go to the executors in blocks of about ``block_bytes``, and
     every class is held against every block; a class is held once, however many
-    recordings it has, and gives one row a block at most.
+    recordings it has, and gives one row for each query class it is aligned with.
 
     Null or short recordings have no integers and no match.  Null ids are never
     queries.  Repeated rows stay.  An empty table gives an empty result.
@@ -218,8 +218,7 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
             block = None
             for batch in batches:
                 block = block or QueryBlock(*shared.value)
-                best = [block.best(np.frombuffer(x, "<u4"), most_errors, least_overlap, own) for x, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-                kept = [(c, *r) for c, r in zip(batch.column(0).to_pylist(), best) if r]
+                kept = [(c, *r) for c, x, own in zip(*(batch.column(k).to_pylist() for k in range(3))) for r in block.aligned(np.frombuffer(x, "<u4"), most_errors, least_overlap, own)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate((pa.binary(), pa.float64(), pa.int64(), pa.int64(), pa.int64()))], ["class", "rate", "short", "query", "offset"])
 
         part = classes.select("class", "items", "query").mapInArrow(run, "class binary, rate double, short long, query long, offset long")

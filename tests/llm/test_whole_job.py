@@ -53,3 +53,14 @@ def test_chroma_queries_match_each_other(spark):
     assert [(m.match, m.match_offset) for m in got[100].matches if m.bit_error_rate < 0.2] == [(200, 0)]
     assert [(m.match, m.match_offset) for m in got[200].matches if m.bit_error_rate < 0.2] == [(100, 0)]
     assert all(m.match != i for i, r in got.items() for m in r.matches or [])
+
+
+def test_chroma_keeps_every_query(spark):
+    rng = np.random.default_rng(6)
+    a, b = tone(rng, 9000), tone(rng, 9000)
+    rows = [(100, a), (200, b), (300, noise(rng, a)), (1, a + b), (2, noise(rng, a)), (3, noise(rng, a))]
+    for options in ({}, {"block_bytes": 600}):
+        got = aligned(spark, rows, **options)
+        close = {i: {m.match for m in got[i].matches or [] if m.bit_error_rate < 0.2} for i in got}
+        assert close[1] >= {100, 200, 300} and close[2] == close[3] == {100, 300} and close[100] == {300}
+        assert all(r.match == r.matches[0].match for i, r in got.items() if i < 100)
