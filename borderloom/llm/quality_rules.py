@@ -10,9 +10,13 @@ language is never gathered in one task but as at most GRAMS sums).  A task for
 each language turns its sums into a modified Kneser-Ney model in sorted hash
 arrays, which are broadcast in runs of languages of at most MODEL_BYTES in all.
 
-The perplexity of a text is per word that has a letter or digit.  Its logarithm
-is held against a band of its language: BAND interquartile ranges below the
-lower and above the upper quartile of the documents that pass the base rules.
+Perplexity is per word that has a letter or digit, by characters and by words.
+The logarithm by characters is held against a band of its language: BAND times
+the width of the shortest interval that holds half of the distinct texts that
+pass the base rules, below and above that interval.  That by words is held against
+such an upper bound alone, as near copies of a good text cost little by words.
+Junk in up to half of the distinct texts, and copies of a text in any number,
+don't move the interval into the junk.
 Junk that puts signs between or into words costs more per word than prose, and
 text of few, frequent words costs less.
 """
@@ -33,15 +37,16 @@ from .store import stage, unused
 from .text_stats import text_stats
 from .word_model import Shard, bigrams, folds, packed, tables, tokens
 
-BAND = 5.0
-LEAST_SPREAD = 0.03  # of the median: the interquartile range counts as at least this
+BAND = 3.0
+LEAST_SPREAD = 0.01  # of the interval's lower end: its width counts as at least this
 MODEL_BYTES = 128 << 20
 SHARD_ENTRIES = 6 << 20  # of 16 bytes
 HELD_LANGUAGES = 16
 COUNTED = 1 << 20
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-STATS = [*BASE, "base_failed", "log_perplexity"]
+LOGS = ["log_perplexity", "log_word_perplexity"]
+STATS = [*BASE, "base_failed", *LOGS]
 _NEEDED = frozenset(["n_symbols"])
 
 
@@ -90,13 +95,13 @@ def models(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return gram_counts(pairs).groupBy("lang").applyInArrow(_build, "lang string, keys binary, logp binary, weight binary")
 
 
-def _log_probabilities(texts, langs: list[str], arrays: dict, made: dict, unseen: dict, shard: Shard, first: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text, what a shard adds to its words' log probabilities, with the spelling of all words in the first, and the words that text without spaces was cut into beyond its own."""
+def _log_probabilities(texts, langs: list[str], arrays: dict, made: dict, unseen: dict, shard: Shard, first: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text, its log probability by characters, what a shard adds to its words' log probabilities (the first adds their spelling), and the number of its words."""
     codes, total = gram_codes(texts)
     v, w, words = bigrams(texts, langs)
     n = np.diff(words.first)
-    fold = folds(texts)
-    base = np.zeros(len(texts))
+    fold = folds(v, w, words)
+    base, letters = np.zeros(len(texts)), np.zeros(len(texts))
     spelled = np.zeros(len(w))
     at = total[texts.offsets]
     for k, lang in enumerate(langs):
@@ -106,12 +111,13 @@ def _log_probabilities(texts, langs: list[str], arrays: dict, made: dict, unseen
             base[k] = unseen[lang][1 - fold[k]]
             own = slice(words.first[k], words.first[k + 1])
             sums = np.concatenate([[0.0], np.cumsum(made[lang].scores(codes[at[k] : at[k + 1]]), dtype=np.float64)])
+            letters[k] = sums[-1]
             spelled[own] = sums[total[words.end[own]] - at[k]] - sums[total[words.start[own]] - at[k]]
     each = shard.scores(v, w, np.repeat(fold, n), spelled)
     if first:
         each += spelled + np.repeat(base, n)
     sums = np.concatenate([[0.0], np.cumsum(each)])
-    return sums[words.first[1:]] - sums[words.first[:-1]], n
+    return letters, sums[words.first[1:]] - sums[words.first[:-1]], n
 
 
 def _key(lang: str, text: bytes) -> bytes:
@@ -119,7 +125,7 @@ def _key(lang: str, text: bytes) -> bytes:
 
 
 def _parts(docs: DataFrame, shared, words, first: bool) -> DataFrame:
-    """Rows (key, part) of (lang, text): what a shard adds to a text's log probability."""
+    """Rows (key, letters, part) of (lang, text): a text's log probability by characters, and what a shard adds to that by words."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,15 +136,15 @@ def _parts(docs: DataFrame, shared, words, first: bool) -> DataFrame:
             langs = batch.column(0).to_pylist()
             for texts in chunks(batch.column(1)):
                 here = langs[texts.first : texts.first + len(texts)]
-                logs, _ = _log_probabilities(texts, here, arrays, made, unseen, shard, first)
+                letters, logs, _ = _log_probabilities(texts, here, arrays, made, unseen, shard, first)
                 keys = [_key(x, texts.data[a:b].tobytes()) for x, a, b in zip(here, texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(logs)], ["key", "part"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(letters), pa.array(logs)], ["key", "letters", "part"])
 
-    return docs.mapInArrow(run, "key binary, part double")
+    return docs.mapInArrow(run, "key binary, letters double, part double")
 
 
 def _scored(docs: DataFrame, shared, words, where_lang: int, where_text: int, names: list[str], schema: str, instead: tuple[str, str] = ("", "")) -> DataFrame:
-    """``docs`` with STATS; without ``words`` two columns ``instead`` of log_perplexity: the text's key, and the number of words its sum is divided by."""
+    """``docs`` with STATS; without ``words`` two columns ``instead`` of LOGS: the text's key, and the number of words its sums are divided by."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,19 +160,19 @@ def _scored(docs: DataFrame, shared, words, where_lang: int, where_text: int, na
                 n, again = stats["n_words"], stats["n_repeat_words"]
                 base = (n < 50) | (100 * again > 50 * n)
                 if words:
-                    logs, cut = _log_probabilities(texts, here, arrays, made, unseen, shard, True)
+                    letters, logs, cut = _log_probabilities(texts, here, arrays, made, unseen, shard, True)
                 else:
                     cut = np.diff(tokens(texts).first)
                 lexical = stats["n_lexical"]
                 per = np.where(lexical > 0, lexical + cut - n, 0)
                 if words:
-                    last = [pa.array([-x / k if k else None for x, k in zip(logs.tolist(), per.tolist())], pa.float64())]
+                    last = [pa.array([-x / k if k else None for x, k in zip(sums.tolist(), per.tolist())], pa.float64()) for sums in (letters, logs)]
                 else:
                     keys = [_key(x, texts.data[a:b].tobytes()) for x, a, b in zip(here, texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())]
                     last = [pa.array(keys, pa.binary()), pa.array(per, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(stats[x], pa.int64()) for x in BASE), pa.array(base), *last], [*names, *STATS[:-1], *(["log_perplexity"] if words else instead)])
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(stats[x], pa.int64()) for x in BASE), pa.array(base), *last], [*names, *BASE, "base_failed", *(LOGS if words else instead)])
 
-    return docs.mapInArrow(run, schema + ("log_perplexity double" if words else f"`{instead[0]}` binary, `{instead[1]}` long"))
+    return docs.mapInArrow(run, schema + ("log_perplexity double, log_word_perplexity double" if words else f"`{instead[0]}` binary, `{instead[1]}` long"))
 
 
 def _runs(found: DataFrame) -> list[list[str]]:
@@ -207,41 +213,47 @@ def score(spark: SparkSession, docs: DataFrame, lang_col: str, text_col: str) ->
             here = _parts(pairs.where(F.col("lang").isin(langs)), shared, words, k == 0).withColumn("shard", F.lit(k))
             parts = here if parts is None else parts.union(here)
     # equal texts have equal parts: one of each shard counts
-    key, per, total = (unused([*names, *STATS], x) for x in ("_key", "_per", "_sum"))
-    sums = parts.groupBy("key", "shard").agg(F.first("part").alias("part")).groupBy(F.col("key").alias(key)).agg(F.sum("part").alias(total))
+    key, per, *totals = (unused([*names, *STATS], x) for x in ("_key", "_per", "_letters", "_sum"))
+    sums = parts.groupBy("key", "shard").agg(F.first("letters").alias("letters"), F.first("part").alias("part")).groupBy(F.col("key").alias(key)).agg(F.max("letters").alias(totals[0]), F.sum("part").alias(totals[1]))
     sums = stage(sums, "log-probabilities")
     rows = _scored(docs, None, None, where_lang, where_text, names, schema, (key, per))
     rows = rows.join(F.broadcast(sums) if sums.count() <= 1_000_000 else sums, key, "left")
-    return rows.withColumn("log_perplexity", F.when(F.col(per) > 0, -F.col(total) / F.col(per))).drop(key, per, total)
+    return rows.withColumns({x: F.when(F.col(per) > 0, -F.col(total) / F.col(per)) for x, total in zip(LOGS, totals)}).drop(key, per, *totals)
 
 
-def bands(scored: DataFrame, lang_col: str) -> DataFrame:
-    """Rows (lang, lower, upper): the band of log perplexity of each language."""
-    q = scored.where("not base_failed and log_perplexity is not null").groupBy(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
-    q = q.agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("q"))
-    spread = F.greatest(F.expr("q[2] - q[0]"), F.expr(f"{LEAST_SPREAD} * q[1]"))
-    return q.select("lang", (F.expr("q[0]") - BAND * spread).alias("lower"), (F.expr("q[2]") + BAND * spread).alias("upper"))
+def bands(scored: DataFrame, lang_col: str, text_col: str) -> DataFrame:
+    """Rows (lang, lower, upper, word_upper): the bounds of each language."""
+    q = scored.where("not base_failed and log_perplexity is not null")
+    q = q.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.xxhash64(text_col).alias("text"), *LOGS)
+    q = q.groupBy("lang", "text").agg(*[F.min(x).alias(x) for x in LOGS]).groupBy("lang")
+    q = q.agg(*[F.percentile_approx(x, [k / 100 for k in range(101)], 10000).alias(f"q{k}") for k, x in enumerate(LOGS)])
+    half = lambda q: F.expr(f"array_min(transform(sequence(0, 50), k -> struct({q}[k + 50] - {q}[k] AS width, {q}[k] AS low, {q}[k + 50] AS high)))")
+    q = q.select("lang", half("q0").alias("h"), half("q1").alias("w"))
+    fence = lambda h: BAND * F.greatest(F.col(f"{h}.width"), LEAST_SPREAD * F.abs(f"{h}.low"))
+    return q.select("lang", (F.col("h.low") - fence("h")).alias("lower"), (F.col("h.high") + fence("h")).alias("upper"), (F.col("w.high") + fence("w")).alias("word_upper"))
 
 
 def quality_rules(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """``docs`` with STATS, lower, upper and kept.
+    """``docs`` with STATS, lower, upper, word_upper and kept.
 
     base_failed: fewer than 50 words, or more than half the words in 3-word
-    windows that recur in the text.  kept: the base rules pass and log_perplexity
-    is within its language's band, bounds included.
+    windows that recur in the text.  kept: the base rules pass, log_perplexity
+    (by characters) is within its language's band and log_word_perplexity is not over
+    word_upper, bounds included.  There is no lower bound on words: copies of a good
+    text cost little there.
 
     Words are runs outside ASCII white space.  A null text counts as empty: no
     words, base_failed, log_perplexity null.  A null language is a language of its
     own.  Repeated rows count each.  Columns of ``docs`` with these names are
     replaced, others stay.  An empty table gives an empty result.
     """
-    docs = docs.drop("lower", "upper", "kept")
+    docs = docs.drop("lower", "upper", "word_upper", "kept")
     scored = score(docs.sparkSession, docs, lang_col, text_col)
-    band = stage(bands(scored, lang_col), "perplexity-bands")
+    band = stage(bands(scored, lang_col, text_col), "perplexity-bands")
     key = unused(scored.columns, "_lang")
     joined = scored.join(
         F.broadcast(band.withColumnRenamed("lang", key)) if band.count() <= 100_000 else band.withColumnRenamed("lang", key),
         F.coalesce(F.col(lang_col).cast("string"), F.lit("")) == F.col(key), "left",
     )
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
+    inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")) & (F.col("log_word_perplexity") <= F.col("word_upper")), F.lit(False))
     return joined.drop(key).withColumn("kept", ~F.col("base_failed") & inside)

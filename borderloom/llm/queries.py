@@ -66,7 +66,7 @@ def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return quality_rules(docs).select("doc_id", *BASE, "base_failed", "kept", "log_perplexity", "lower", "upper")
+    return quality_rules(docs).select("doc_id", *BASE, "base_failed", "kept", "log_perplexity", "lower", "upper", "log_word_perplexity", "word_upper")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,10 @@ def test_word_salad_costs_more(spark, monkeypatch):
             return out
         rows = [(i, " ".join(prose()), "xx") for i in range(200)] + [(900 + k, " ".join(rng.permutation(prose())), "xx") for k in range(3)]
         df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-        got = {r.doc_id: r.log_perplexity for r in quality_rules.quality_rules(df).collect()}
+        got = {r.doc_id: r.log_word_perplexity for r in quality_rules.quality_rules(df).collect()}
         assert min(got[900 + k] for k in range(3)) > max(got[i] for i in range(200)) + 1
     monkeypatch.setattr(quality_rules, "SHARD_ENTRIES", 400)
-    sharded = {r.doc_id: r.log_perplexity for r in quality_rules.quality_rules(df).collect()}
+    sharded = {r.doc_id: r.log_word_perplexity for r in quality_rules.quality_rules(df).collect()}
     assert all(abs(sharded[i] - got[i]) < 1e-6 for i in got)
 
 
@@ -64,3 +64,14 @@ def test_chroma_keeps_every_query(spark):
         close = {i: {m.match for m in got[i].matches or [] if m.bit_error_rate < 0.2} for i in got}
         assert close[1] >= {100, 200, 300} and close[2] == close[3] == {100, 300} and close[100] == {300}
         assert all(r.match == r.matches[0].match for i, r in got.items() if i < 100)
+
+
+def test_bands_hold_against_a_hot_source(spark):
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 8))) for _ in range(500)]
+    prose = lambda: " ".join(rng.choice(vocabulary, 120))
+    junk = lambda: " ".join(w + "".join(rng.choice(list("%$#@&*"), 3)) for w in prose().split())
+    rows = [(i, prose()) for i in range(200)] + [(1000 + i, junk()) for i in range(100)]
+    df = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(df).collect()}
+    assert sum(got[i] for i in range(200)) >= 196 and not any(got[i] for i in got if 1000 <= i)
