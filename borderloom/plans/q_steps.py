@@ -237,7 +237,7 @@ def n21(spark, d):
 
 @query("h4_clean_antennas")
 def h4(spark, d):
-    return C.clean_antennas(net.edges(spark, d), net.land(spark, d), TN, most_rounds=3).select("objectid")
+    return C.clean_antennas(net.edges(spark, d), net.land(spark, d), TN).select("objectid")
 
 
 @query("h2_clean_faces")
