@@ -1,24 +1,16 @@
 """Quality rules: base counts of a text and language-specific perplexity bands.
 
-The language model is one of words (word_model.py), which grows with the corpus:
-its entries are broadcast in shards of SHARD_ENTRIES, documents pass through
-each, and each adds its share to the log probability of a text.
+The language model is one of code points (gram_model.py), which grows with the
+corpus.  Its entries are broadcast in shards of SHARD_ENTRIES, documents pass
+through each, and each adds its share to the log probability of a text.
 
-Words it hasn't seen are spelled by a character model (kn_model.py).  Spark counts
-the 4-grams of every document by language (a map task adds up its own first, so a
-language is never gathered in one task but as at most GRAMS sums).  A task for
-each language turns its sums into a modified Kneser-Ney model in sorted hash
-arrays, which are broadcast in runs of languages of at most MODEL_BYTES in all.
-
-Perplexity is per word that has a letter or digit, by characters and by words.
-The logarithm by characters is held against a band of its language: BAND times
-the width of the shortest interval that holds half of the distinct texts that
-pass the base rules, below and above that interval.  That by words is held against
-such an upper bound alone, as near copies of a good text cost little by words.
+Perplexity is per word that has a letter or digit.  Its logarithm is held against
+a band of its language: BAND times the width of the shortest interval that holds
+half of the distinct texts that pass the base rules, below and above that interval.
 Junk in up to half of the distinct texts, and copies of a text in any number,
-don't move the interval into the junk.
-Junk that puts signs between or into words costs more per word than prose, and
-text of few, frequent words costs less.
+don't move the interval into the junk.  Junk that puts signs between or into words,
+gibberish and words in a wrong order cost more per word than prose, and text of
+few, frequent words costs less.
 """
 
 from __future__ import annotations
@@ -31,229 +23,130 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .arrow_text import chunks, trimmed
-from .kn_model import GRAMS, Model, build, gram_codes
-from .store import stage, unused
+from .arrow_text import Texts, chunks, trimmed
+from .gram_model import CHUNK, Shard, arrays, entries
+from .store import discard, named, stage, unused
 from .text_stats import text_stats
-from .word_model import Shard, bigrams, folds, packed, tables, tokens
 
 BAND = 3.0
 LEAST_SPREAD = 0.01  # of the interval's lower end: its width counts as at least this
-MODEL_BYTES = 128 << 20
-SHARD_ENTRIES = 6 << 20  # of 16 bytes
-HELD_LANGUAGES = 16
-COUNTED = 1 << 20
+SHARD_ENTRIES = 3 << 20  # of 24 bytes
+BROADCAST_TEXTS = 1_000_000
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-LOGS = ["log_perplexity", "log_word_perplexity"]
-STATS = [*BASE, "base_failed", *LOGS]
+STATS = [*BASE, "base_failed", "log_perplexity"]
 _NEEDED = frozenset(["n_symbols"])
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """Rows (lang, gram, n) of (lang, text): counts of 4-grams over all documents; a null language is ''."""
-
-    @trimmed
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, c in held.items():
-                found = np.flatnonzero(c)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int32()), pa.array(c[found], pa.int64())], ["lang", "gram", "n"])
-            held.clear()
-
-        for batch in batches:
-            names, langs = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
-            for texts in chunks(batch.column(1), COUNTED):
-                codes, total = gram_codes(texts)
-                at = total[texts.offsets]
-                here = langs[texts.first : texts.first + len(texts)].astype(np.int32)
-                owner = np.repeat(here, np.diff(at))
-                for k in np.unique(here):
-                    lang = names[k]
-                    if lang not in held:
-                        if len(held) >= HELD_LANGUAGES:
-                            yield from flush()
-                        held[lang] = np.zeros(GRAMS, np.int64)
-                    found, n = np.unique(codes[owner == k], return_counts=True)
-                    held[lang][found] += n
-        yield from flush()
-
-    rows = docs.mapInArrow(run, "lang string, gram int, n long")
-    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def _build(key: tuple, table: pa.Table) -> pa.Table:
-    keys, logp, weight = build(table.column("gram").to_numpy(), table.column("n").to_numpy())
-    return pa.table({"lang": [key[0].as_py()], "keys": [keys.tobytes()], "logp": [logp.tobytes()], "weight": [weight.tobytes()]}, schema=pa.schema([("lang", pa.string()), ("keys", pa.binary()), ("logp", pa.binary()), ("weight", pa.binary())]))
-
+def _keys(texts: Texts, langs: list[str]) -> pa.Array:
+    return pa.array([xxh3_128_digest(x.encode() + b"\0" + texts.data[a:b].tobytes()) for x, a, b in zip(langs, texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())], pa.binary())
 
-def models(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """Rows (lang, keys, logp, weight): a model for each language in three packed arrays, sorted by key."""
-    pairs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    return gram_counts(pairs).groupBy("lang").applyInArrow(_build, "lang string, keys binary, logp binary, weight binary")
 
-
-def _log_probabilities(texts, langs: list[str], arrays: dict, made: dict, unseen: dict, shard: Shard, first: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each text, its log probability by characters, what a shard adds to its words' log probabilities (the first adds their spelling), and the number of its words."""
-    codes, total = gram_codes(texts)
-    v, w, words = bigrams(texts, langs)
-    n = np.diff(words.first)
-    fold = folds(v, w, words)
-    base, letters = np.zeros(len(texts)), np.zeros(len(texts))
-    spelled = np.zeros(len(w))
-    at = total[texts.offsets]
-    for k, lang in enumerate(langs):
-        if n[k]:
-            if lang not in made:
-                made[lang] = Model(*(np.frombuffer(x, kind) for x, kind in zip(arrays[lang], (np.uint64, np.float32, np.float32))))
-            base[k] = unseen[lang][1 - fold[k]]
-            own = slice(words.first[k], words.first[k + 1])
-            sums = np.concatenate([[0.0], np.cumsum(made[lang].scores(codes[at[k] : at[k + 1]]), dtype=np.float64)])
-            letters[k] = sums[-1]
-            spelled[own] = sums[total[words.end[own]] - at[k]] - sums[total[words.start[own]] - at[k]]
-    each = shard.scores(v, w, np.repeat(fold, n), spelled)
-    if first:
-        each += spelled + np.repeat(base, n)
-    sums = np.concatenate([[0.0], np.cumsum(each)])
-    return letters, sums[words.first[1:]] - sums[words.first[:-1]], n
-
-
-def _key(lang: str, text: bytes) -> bytes:
-    return xxh3_128_digest(lang.encode() + b"\0" + text)
-
-
-def _parts(docs: DataFrame, shared, words, first: bool) -> DataFrame:
-    """Rows (key, letters, part) of (lang, text): a text's log probability by characters, and what a shard adds to that by words."""
+def _parts(pairs: DataFrame, shared) -> DataFrame:
+    """Rows (key, part) of (lang, text): what a shard adds to a text's log probability."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays, unseen = shared.value
-        made: dict[str, Model] = {}
-        shard = Shard(*words.value)
+        shard = Shard(shared.value)
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            for texts in chunks(batch.column(1)):
+            for texts in chunks(batch.column(1), CHUNK):
                 here = langs[texts.first : texts.first + len(texts)]
-                letters, logs, _ = _log_probabilities(texts, here, arrays, made, unseen, shard, first)
-                keys = [_key(x, texts.data[a:b].tobytes()) for x, a, b in zip(here, texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(letters), pa.array(logs)], ["key", "letters", "part"])
+                yield pa.RecordBatch.from_arrays([_keys(texts, here), pa.array(shard.log_probabilities(texts, here))], ["key", "part"])
 
-    return docs.mapInArrow(run, "key binary, letters double, part double")
+    return pairs.mapInArrow(run, "key binary, part double")
 
 
-def _scored(docs: DataFrame, shared, words, where_lang: int, where_text: int, names: list[str], schema: str, instead: tuple[str, str] = ("", "")) -> DataFrame:
-    """``docs`` with STATS; without ``words`` two columns ``instead`` of LOGS: the text's key, and the number of words its sums are divided by."""
+def _scored(docs: DataFrame, shared, where_lang: int, where_text: int, names: list[str], schema: str, key: str, per: str) -> DataFrame:
+    """``docs`` with STATS; without a shard, two columns instead of log_perplexity: the text's key, and the number of words its sum is divided by."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays, unseen = shared.value if words else ({}, {})
-        made: dict[str, Model] = {}
-        shard = Shard(*words.value) if words else None
+        shard = Shard(shared.value) if shared else None
         for batch in batches:
             langs = [x or "" for x in batch.column(where_lang).cast(pa.string()).to_pylist()]
-            for texts in chunks(batch.column(where_text)):
+            for texts in chunks(batch.column(where_text), CHUNK):
                 part = batch.slice(texts.first, len(texts))
                 here = langs[texts.first : texts.first + len(texts)]
                 stats = text_stats(texts, _NEEDED)
-                n, again = stats["n_words"], stats["n_repeat_words"]
+                n, again, lexical = stats["n_words"], stats["n_repeat_words"], stats["n_lexical"]
                 base = (n < 50) | (100 * again > 50 * n)
-                if words:
-                    letters, logs, cut = _log_probabilities(texts, here, arrays, made, unseen, shard, True)
+                if shard:
+                    last = [pa.array([-x / k if k else None for x, k in zip(shard.log_probabilities(texts, here).tolist(), lexical.tolist())], pa.float64())]
                 else:
-                    cut = np.diff(tokens(texts).first)
-                lexical = stats["n_lexical"]
-                per = np.where(lexical > 0, lexical + cut - n, 0)
-                if words:
-                    last = [pa.array([-x / k if k else None for x, k in zip(sums.tolist(), per.tolist())], pa.float64()) for sums in (letters, logs)]
-                else:
-                    keys = [_key(x, texts.data[a:b].tobytes()) for x, a, b in zip(here, texts.offsets[:-1].tolist(), texts.offsets[1:].tolist())]
-                    last = [pa.array(keys, pa.binary()), pa.array(per, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(stats[x], pa.int64()) for x in BASE), pa.array(base), *last], [*names, *BASE, "base_failed", *(LOGS if words else instead)])
-
-    return docs.mapInArrow(run, schema + ("log_perplexity double, log_word_perplexity double" if words else f"`{instead[0]}` binary, `{instead[1]}` long"))
-
+                    last = [_keys(texts, here), pa.array(lexical, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(stats[x], pa.int64()) for x in BASE), pa.array(base), *last], [*names, *BASE, "base_failed", *(["log_perplexity"] if shard else [key, per])])
 
-def _runs(found: DataFrame) -> list[list[str]]:
-    """Languages in runs whose models take MODEL_BYTES at most, but for one larger model alone."""
-    out, size = [[]], 0
-    for lang, n in sorted((r.lang, r.n) for r in found.select("lang", F.expr("length(keys) + length(logp) + length(weight)").alias("n")).collect()):
-        if out[-1] and size + n > MODEL_BYTES:
-            out.append([])
-            size = 0
-        out[-1].append(lang)
-        size += n
-    return out
+    return docs.mapInArrow(run, schema + ("log_perplexity double" if shared else f"`{key}` binary, `{per}` long"))
 
 
 def score(spark: SparkSession, docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """``docs`` with STATS."""
+    """``docs`` with STATS.
+
+    Null texts count as empty and have no perplexity, as texts without a letter or
+    digit; a null language is one of its own; equal texts have equal figures.
+    """
     docs = docs.drop(*STATS)
-    found = stage(models(docs, lang_col, text_col), "perplexity-models")
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
-    pairs = docs.select(lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
-    entries, unseen = tables(pairs)
-    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    lang_col, text_col = named(docs, lang_col), named(docs, text_col)
+    lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(""))
+    pairs = docs.select(lang.alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    listed = entries(pairs)
+    model, n, buckets = arrays(listed)
+    discard(listed)
+    docs = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
     names = docs.columns
-    where_lang, where_text = names.index(lang_col), names.index(text_col)
+    where_lang, where_text = (names.index(c) for c in (lang_col, text_col))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema) + "".join(f"{x} long, " for x in BASE) + "base_failed boolean, "
-    runs = _runs(found)
-    size = {r.lang: r.n for r in entries.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    key, per, total = (unused([*names, *STATS], x) for x in ("_key", "_per", "_total"))
+    shards = max(1, -(-n // SHARD_ENTRIES))
+    step = -(-buckets // shards)
     parts = None
-    for langs in runs:
-        of = {r.lang: (bytes(r["keys"]), bytes(r.logp), bytes(r.weight)) for r in found.where(F.col("lang").isin(langs)).collect()}
-        shared = spark.sparkContext.broadcast((of, {x: unseen[x] for x in langs if x in unseen}))
-        shards = max(1, -(-sum(size.get(x, 0) for x in langs) // SHARD_ENTRIES))
-        for k in range(shards):
-            mine = entries.where(F.col("lang").isin(langs) & (F.pmod(F.xxhash64("v", "w"), F.lit(shards)) == k))
-            words = spark.sparkContext.broadcast(packed(mine.select("v", "w", "la", "lb").toArrow()))
-            if len(runs) == shards == 1:
-                return _scored(docs, shared, words, where_lang, where_text, names, schema)
-            here = _parts(pairs.where(F.col("lang").isin(langs)), shared, words, k == 0).withColumn("shard", F.lit(k))
-            parts = here if parts is None else parts.union(here)
+    for k in range(0, buckets, step):
+        rows = model.where(F.col("bucket").between(k, k + step - 1)).collect()
+        shared = spark.sparkContext.broadcast([(r.bucket, *(bytes(r[c]) for c in ("keys", "ta", "tb", "wa", "wb"))) for r in rows])
+        if step >= buckets:
+            return _scored(docs, shared, where_lang, where_text, names, schema, key, per)
+        here = _parts(pairs, shared).withColumn("shard", F.lit(k))
+        parts = here if parts is None else parts.union(here)
     # equal texts have equal parts: one of each shard counts
-    key, per, *totals = (unused([*names, *STATS], x) for x in ("_key", "_per", "_letters", "_sum"))
-    sums = parts.groupBy("key", "shard").agg(F.first("letters").alias("letters"), F.first("part").alias("part")).groupBy(F.col("key").alias(key)).agg(F.max("letters").alias(totals[0]), F.sum("part").alias(totals[1]))
+    sums = parts.groupBy("key", "shard").agg(F.first("part").alias("part")).groupBy(F.col("key").alias(key)).agg(F.sum("part").alias(total))
     sums = stage(sums, "log-probabilities")
-    rows = _scored(docs, None, None, where_lang, where_text, names, schema, (key, per))
-    rows = rows.join(F.broadcast(sums) if sums.count() <= 1_000_000 else sums, key, "left")
-    return rows.withColumns({x: F.when(F.col(per) > 0, -F.col(total) / F.col(per)) for x, total in zip(LOGS, totals)}).drop(key, per, *totals)
+    rows = _scored(docs, None, where_lang, where_text, names, schema, key, per)
+    rows = rows.join(F.broadcast(sums) if sums.count() <= BROADCAST_TEXTS else sums, key, "left")
+    return rows.withColumn("log_perplexity", F.when(F.col(per) > 0, -F.col(total) / F.col(per))).drop(key, per, total)
 
 
 def bands(scored: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """Rows (lang, lower, upper, word_upper): the bounds of each language."""
+    """Rows (lang, lower, upper): the bounds of each language, from its distinct texts that pass the base rules; a language without any has no row."""
     q = scored.where("not base_failed and log_perplexity is not null")
-    q = q.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.xxhash64(text_col).alias("text"), *LOGS)
-    q = q.groupBy("lang", "text").agg(*[F.min(x).alias(x) for x in LOGS]).groupBy("lang")
-    q = q.agg(*[F.percentile_approx(x, [k / 100 for k in range(101)], 10000).alias(f"q{k}") for k, x in enumerate(LOGS)])
-    half = lambda q: F.expr(f"array_min(transform(sequence(0, 50), k -> struct({q}[k + 50] - {q}[k] AS width, {q}[k] AS low, {q}[k + 50] AS high)))")
-    q = q.select("lang", half("q0").alias("h"), half("q1").alias("w"))
-    fence = lambda h: BAND * F.greatest(F.col(f"{h}.width"), LEAST_SPREAD * F.abs(f"{h}.low"))
-    return q.select("lang", (F.col("h.low") - fence("h")).alias("lower"), (F.col("h.high") + fence("h")).alias("upper"), (F.col("w.high") + fence("w")).alias("word_upper"))
+    q = q.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"), F.xxhash64(f"`{text_col}`").alias("text"), "log_perplexity")
+    q = q.groupBy("lang", "text").agg(F.min("log_perplexity").alias("x")).groupBy("lang")
+    q = q.agg(F.percentile_approx("x", [k / 100 for k in range(101)], 10000).alias("q"))
+    half = F.expr("array_min(transform(sequence(0, 50), k -> struct(q[k + 50] - q[k] AS width, q[k] AS low, q[k + 50] AS high)))")
+    q = q.select("lang", half.alias("h"))
+    fence = BAND * F.greatest(F.col("h.width"), LEAST_SPREAD * F.abs("h.low"))
+    return q.select("lang", (F.col("h.low") - fence).alias("lower"), (F.col("h.high") + fence).alias("upper"))
 
 
 def quality_rules(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """``docs`` with STATS, lower, upper, word_upper and kept.
+    """``docs`` with STATS, lower, upper and kept.
 
     base_failed: fewer than 50 words, or more than half the words in 3-word
-    windows that recur in the text.  kept: the base rules pass, log_perplexity
-    (by characters) is within its language's band and log_word_perplexity is not over
-    word_upper, bounds included.  There is no lower bound on words: copies of a good
-    text cost little there.
+    windows that recur in the text.  kept: the base rules pass and log_perplexity
+    is within its language's band, bounds included.
 
     Words are runs outside ASCII white space.  A null text counts as empty: no
     words, base_failed, log_perplexity null.  A null language is a language of its
-    own.  Repeated rows count each.  Columns of ``docs`` with these names are
-    replaced, others stay.  An empty table gives an empty result.
+    own.  Very long texts are scored whole.  Equal texts have equal figures, and
+    repeated rows stay.  Columns of ``docs`` with the new names are replaced,
+    others stay, whatever their names.  An empty table gives an empty result.
     """
-    docs = docs.drop("lower", "upper", "word_upper", "kept")
+    docs = docs.drop("lower", "upper", "kept")
     scored = score(docs.sparkSession, docs, lang_col, text_col)
     band = stage(bands(scored, lang_col, text_col), "perplexity-bands")
     key = unused(scored.columns, "_lang")
-    joined = scored.join(
-        F.broadcast(band.withColumnRenamed("lang", key)) if band.count() <= 100_000 else band.withColumnRenamed("lang", key),
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("")) == F.col(key), "left",
-    )
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")) & (F.col("log_word_perplexity") <= F.col("word_upper")), F.lit(False))
+    band_small = band.count() <= 100_000
+    band = band.withColumnRenamed("lang", key)
+    joined = scored.join(F.broadcast(band) if band_small else band, F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")) == F.col(key), "left")
+    inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
     return joined.drop(key).withColumn("kept", ~F.col("base_failed") & inside)

@@ -54,3 +54,8 @@ def unused(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def named(df: DataFrame, name: str) -> str:
+    """The column of ``df`` that ``name`` means, as it is spelt there."""
+    return next((c for c in df.columns if c == name), None) or next(c for c in df.columns if c.lower() == name.lower())

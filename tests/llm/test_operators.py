@@ -6,11 +6,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from borderloom.llm import bpe, chroma, components, gam, html_text, kn_model, lines, ngram_join, packing, quality_rules, quotes, warc
+from borderloom.llm.arrow_text import chunks
+from borderloom.llm import bpe, chroma, components, gam, gram_model, html_text, lines, ngram_join, packing, quality_rules, quotes, warc
 
 from .common import awkward, components as brute_components, line_oracle, mutated, shingles, table, words
 
@@ -214,17 +216,72 @@ def test_quality_rules(docs, none):
     assert quality_rules.quality_rules(none).count() == 0
 
 
-def test_perplexity_model(spark):
-    texts = ["the cat sat on the mat", "a dog sat", "", None, "CATS 12!"]
-    counts = quality_rules.gram_counts(spark.createDataFrame([("en", t) for t in texts], "lang string, text string")).toPandas()
-    want = Counter()
+def brute_kneser_ney(texts):
+    """Log probability of each text by the grams of the other fold, straight from the definition."""
+    import math
+    import re
+
+    order = gram_model.ORDER
+    rows = [re.sub("[\\x20\\x09-\\x0D]+", " ", " " + (t or "")).replace("\x00", "\ufffd")[1:] for t in texts]
+    fold = []
     for t in texts:
-        s = [0, 0, 0] + [int(kn_model.SYMBOL[ord(c)]) for c in t or ""]
-        want.update((((s[i] << 5 | s[i + 1]) << 5 | s[i + 2]) << 5 | s[i + 3]) for i in range(len(s) - 3))
-    assert dict(zip(counts.gram, counts.n)) == dict(want)
-    m = kn_model.Model(*kn_model.build(counts.gram.to_numpy(), counts.n.to_numpy()))
-    for context in {g >> 5 for g in want} | {5, 31 << 10}:
-        assert abs(np.exp(m.scores((np.uint32(context) << 5 | np.arange(32, dtype=np.uint32)))).sum() - 1) < 1e-4
+        chunk = next(chunks(pa.array([t or ""])))
+        sym = gram_model.symbols(chunk)
+        keys, _, at = gram_model._unique(sym, np.array([gram_model.salt("xx")], np.uint64))
+        fold.append(int(gram_model.folds(keys[at], sym.first)[0]))
+    padded = [" " * (order - 1) + r for r in rows]
+    alphabet = len({c for r in rows for c in r})
+    models = []
+    for f in (0, 1):
+        tables = {order: Counter(p[i : i + order] for p, k in zip(padded, fold) if k == f for i in range(len(p) - order + 1))}
+        for k in range(order - 1, 0, -1):
+            tables[k] = Counter(g[1:] for g in tables[k + 1])
+        d = {}
+        for k, t in tables.items():
+            n = [0] + [sum(v == j for v in t.values()) for j in (1, 2, 3, 4)]
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+            d[k] = [0] + [min(max(j - (j + 1) * y * n[j + 1] / n[j] if n[j] else 0.5 * j, 0.05 * j), 0.95 * j) for j in (1, 2, 3)]
+        after = {}
+        for t in tables.values():
+            for g, v in t.items():
+                after.setdefault(g[:-1], []).append((len(g), v))
+        models.append((tables, d, after))
+
+    def p(model, h, c):
+        tables, d, after = model
+        k = len(h) + 1
+        low = p(model, h[1:], c) if h else 1 / (alphabet + 1)
+        if h not in after:
+            return low
+        total = sum(v for _, v in after[h])
+        gamma = sum(d[k][min(v, 3)] for _, v in after[h]) / total
+        v = tables[k].get(h + c, 0)
+        return (v - d[k][min(v, 3)]) / total + gamma * low
+
+    return [sum(math.log(p(models[1 - f], t[i - order + 1 : i], t[i])) for i in range(order - 1, len(t))) for t, f in zip(padded, fold)]
+
+
+def test_perplexity_model(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(rng.choice(list("abcdé漢 "), rng.integers(1, 6))) for _ in range(30)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(1, 25))) for _ in range(60)] + ["", None, "  lead\n\nand  trail ", "a\x00b 🙂", "zzz"]
+    want = brute_kneser_ney(texts)
+    df = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules.score(spark, df, "lang", "text").collect()}
+    for i, t in enumerate(texts):
+        lexical = sum(any(c.isascii() and c.isalnum() or ord(c) >= 0x80 for c in w) for w in words(t))
+        assert (got[i].log_perplexity is None) if not lexical else abs(got[i].log_perplexity + want[i] / lexical) < 1e-4
+    assert len({round(x, 3) for x in want}) > 50
+
+
+def test_counts_add_up(spark, monkeypatch):
+    texts = ["the cat sat on the mat", "a dog sat", "", None, "CATS 12!", "the cat sat on the mat"]
+    df = spark.createDataFrame([("en", t) for t in texts] + [("de", "a dog sat")], "lang string, text string")
+    rows = gram_model.counts(df).collect()
+    want = Counter(("en", p[i : i + 6]) for t in texts for p in ["     " + (t or "")] for i in range(len(p) - 5)) + Counter(("de", p[i : i + 6]) for p in ["     a dog sat"] for i in range(len(p) - 5))
+    assert {(r.lang, r.g): r.a + r.b for r in rows} == dict(want)
+    monkeypatch.setattr(gram_model, "HELD_GRAMS", 3)
+    assert key(rows) == key(gram_model.counts(df).collect())
 
 
 def test_bands_reject(spark):
@@ -236,10 +293,33 @@ def test_bands_reject(spark):
     assert not got[900] and not got[901] and sum(got[i] for i in range(300)) >= 298
 
 
-def test_languages_in_runs(spark, docs, monkeypatch):
-    whole = key(quality_rules.quality_rules(docs).select("doc_id", "kept", F.round("log_perplexity", 4)).collect())
-    monkeypatch.setattr(quality_rules, "MODEL_BYTES", 1)
-    assert key(quality_rules.quality_rules(docs).select("doc_id", "kept", F.round("log_perplexity", 4)).collect()) == whole
+def test_shards_add_up(spark, docs, monkeypatch):
+    got = lambda: key(quality_rules.quality_rules(docs).select("doc_id", "kept", F.round("log_perplexity", 4)).collect())
+    whole = got()
+    monkeypatch.setattr(quality_rules, "SHARD_ENTRIES", 500)
+    monkeypatch.setattr(gram_model, "BUCKET_ENTRIES", 100)
+    assert got() == whole
+    monkeypatch.setattr(quality_rules, "BROADCAST_TEXTS", 0)
+    monkeypatch.setattr(gram_model, "SMALL", 0)
+    assert got() == whole
+
+
+def test_quality_rules_names(spark, docs):
+    """Columns that clash with inner names, and other spellings of the given ones."""
+    odd = docs.withColumnRenamed("lang", "Lang").withColumnRenamed("text", "Text").withColumn("_key", F.lit(1)).withColumn("_l", F.lit(2)).withColumn("a b", F.lit(3)).withColumn("bucket", F.lit(4))
+    got = quality_rules.quality_rules(odd)
+    assert set(odd.columns) <= set(got.columns)
+    assert key((r.doc_id, r.kept) for r in got.collect()) == key((r.doc_id, r.kept) for r in quality_rules.quality_rules(docs).collect())
+
+
+def test_gibberish_of_any_script(spark):
+    rng = np.random.default_rng(7)
+    for letters in ("абвгдежзиклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω"):
+        vocabulary = ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(400)]
+        rows = [(i, " ".join(rng.choice(vocabulary, 150)), "xx") for i in range(200)]
+        rows += [(900 + i, " ".join("".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(150)), "xx") for i in range(5)]
+        got = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+        assert not any(got[900 + i] for i in range(5)) and sum(got[i] for i in range(200)) >= 196
 
 
 # 5

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from borderloom.llm import chroma, quality_rules, word_model
+from borderloom.llm import chroma, gram_model, quality_rules
 from borderloom.llm.arrow_text import chunks
 
 from .test_operators import tone
@@ -22,18 +22,19 @@ def test_word_salad_costs_more(spark, monkeypatch):
             return out
         rows = [(i, " ".join(prose()), "xx") for i in range(200)] + [(900 + k, " ".join(rng.permutation(prose())), "xx") for k in range(3)]
         df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-        got = {r.doc_id: r.log_word_perplexity for r in quality_rules.quality_rules(df).collect()}
+        got = {r.doc_id: r.log_perplexity for r in quality_rules.quality_rules(df).collect()}
         assert min(got[900 + k] for k in range(3)) > max(got[i] for i in range(200)) + 1
     monkeypatch.setattr(quality_rules, "SHARD_ENTRIES", 400)
-    sharded = {r.doc_id: r.log_word_perplexity for r in quality_rules.quality_rules(df).collect()}
+    monkeypatch.setattr(gram_model, "BUCKET_ENTRIES", 100)
+    sharded = {r.doc_id: r.log_perplexity for r in quality_rules.quality_rules(df).collect()}
     assert all(abs(sharded[i] - got[i]) < 1e-6 for i in got)
 
 
-def test_word_model_grows(spark):
-    entries = lambda n: word_model.tables(spark.createDataFrame([("en", f"a{i % n} b{i % n} c{i}") for i in range(4 * n)], "lang string, text string"))[0].count()
+def test_model_grows(spark):
+    entries = lambda n: gram_model.entries(spark.createDataFrame([("en", f"a{i % n} b{i % n} c{i}") for i in range(4 * n)], "lang string, text string")).count()
     assert entries(400) > 5 * entries(50)
-    cut = word_model.tokens(next(chunks(pa.array(["漢字 ab漢c  d\n", "", "é x"]))))
-    assert cut.first.tolist() == [0, 6, 6, 8]
+    sym = gram_model.symbols(next(chunks(pa.array(["漢 ab\n\n", "", " é x"]))))
+    assert sym.first.tolist() == [0, 5, 5, 8] and sym.codes[sym.place].tolist() == [ord(c) for c in "漢 ab é x"]
 
 
 def noise(rng, pcm):
