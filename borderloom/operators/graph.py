@@ -106,6 +106,29 @@ def chain_ends(g: DataFrame, ch: DataFrame, id_col: str = "objectid") -> DataFra
     return h.groupBy("chain", "v").agg(F.count("*").alias("n"), F.min("eid").alias("eid")).where("n = 1").drop("n")
 
 
+def chain_positions(g: DataFrame, ch: DataFrame, begin: DataFrame, id_col: str = "objectid") -> DataFrame:
+    """Rows (chain, eid, pos) of the edges of chains that begin at a vertex (chain, v), numbered from 0 there.
+
+    Each half-edge points at the next one of its chain; pointers are doubled, so a
+    chain of n edges takes about log n rounds and is never gathered.
+    """
+    members = ch.select("eid", "chain").join(begin.select("chain"), "chain", "left_semi")
+    h = half_edges(g, id_col).join(members, "eid").select("chain", "eid", "dir", "v", "w")
+    # walk towards the beginning: from each half-edge to the one of another edge that leaves its end
+    on = h.select("chain", F.col("v").alias("w"), F.col("eid").alias("e2"), F.col("dir").alias("d2"))
+    at = begin.select("chain", F.col("v").alias("w"), F.lit(True).alias("home"))
+    link = h.join(at, ["chain", "w"], "left").join(on, ["chain", "w"], "left").where("home or e2 is null or e2 <> eid")
+    link = link.groupBy("chain", "eid", "dir").agg(F.max(F.coalesce("home", F.lit(False))).alias("home"), F.min(F.when(F.col("e2") != F.col("eid"), F.struct("e2", "d2"))).alias("n"))
+    step = cut(link.select("chain", "eid", "dir", "home", F.when(~F.col("home"), F.col("n")).alias("n"), F.lit(0).alias("pos")))
+    while True:
+        up = step.select("chain", F.struct(F.col("eid").alias("e2"), F.col("dir").alias("d2")).alias("n"), F.col("n").alias("_n"), F.col("home").alias("_home"), F.col("pos").alias("_pos"))
+        j = step.join(up, ["chain", "n"], "left")
+        after = cut(j.select("chain", "eid", "dir", (F.col("home") | F.coalesce("_home", F.lit(False))).alias("home"), F.col("_n").alias("n"), (F.col("pos") + F.when(F.col("_pos").isNull(), 0).otherwise(F.col("_pos") + 1)).alias("pos")))
+        if not after.where("n is not null").limit(1).count():
+            return after.where("home").groupBy("chain", "eid").agg(F.min("pos").alias("pos"))
+        step = after
+
+
 def antennas(g: DataFrame, key: Column | None = None, id_col: str = "objectid") -> DataFrame:
     """Dangling chains (chain, tip, base, n_edges, length): from a vertex of degree 1 to the first that isn't of degree 2 (or where the key changes).
 

@@ -73,15 +73,24 @@ def move_junctions(edges: DataFrame, matches: DataFrame, p: Params) -> DataFrame
 
 
 def crossing_points(edges: DataFrame, border: DataFrame, cls: DataFrame, p: Params) -> DataFrame:
-    """Connecting points (id, edge, country, way, x, y) where edges meet the border, moved to the nearest crossing with a connecting line within its distance."""
+    """Connecting points (id, edge, country, way, x, y) where edges meet the border, each moved to the nearest crossing of its edge with a connecting line within its distance.
+
+    An edge has a point for each of its distinct crossings, numbered along it;
+    crossings that move to the same place are one point.
+    """
     e = edges.select(F.col("objectid").alias("id"), "x0", "y0", "x1", "y1")
-    at = crossings(e, border.withColumnRenamed("objectid", "id")).groupBy("a_id").agg(F.min(F.struct(F.round("t", 9).alias("t"), "x", "y")).alias("h"))
-    at = at.select(F.col("a_id").alias("edge"), "h.x", "h.y")
+    at = crossings(e, border.withColumnRenamed("objectid", "id")).select(F.col("a_id").alias("edge"), F.round("t", 9).alias("t"), "x", "y")
+    at = cut(at.groupBy("edge", "t").agg(F.min(F.struct("x", "y")).alias("h")).select("edge", "t", "h.x", "h.y"))
     cl = crossings(e, cls.select(F.col("objectid").alias("id"), "x0", "y0", "x1", "y1")).select(F.col("a_id").alias("edge"), F.col("b_id").alias("cl"), F.col("x").alias("cx"), F.col("y").alias("cy"))
     near = at.join(cl, "edge").withColumn("dist", distance("x", "y", "cx", "cy")).where(F.col("dist") <= p.cp_intersected_cl_dist)
-    near = best(near, "edge", "cl").select("edge", "cx", "cy")
+    w = Window.partitionBy("edge", "t").orderBy(F.round("dist", 9), "cl", "cx", "cy")
+    near = near.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("edge", "t", "cx", "cy")
+    to = at.join(near, ["edge", "t"], "left").select("edge", "t", F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y"))
+    to = to.groupBy("edge", F.round("x", 6).alias("_x"), F.round("y", 6).alias("_y")).agg(F.min(F.struct("t", "x", "y")).alias("h")).select("edge", "h.*")
+    k = F.row_number().over(Window.partitionBy("edge").orderBy("t"))
     attrs = edges.select(F.col("objectid").alias("edge"), "country", F.col("form_of_way").alias("way"))
-    return at.join(near, "edge", "left").join(attrs, "edge").select(F.concat(F.lit("X"), "edge").alias("id"), "edge", "country", "way", F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y"))
+    named = to.withColumn("k", k).join(attrs, "edge")
+    return named.select(F.concat(F.lit("X"), "edge", F.when(F.col("k") > 1, F.concat(F.lit("+"), "k")).otherwise(F.lit(""))).alias("id"), "edge", "country", "way", "x", "y")
 
 
 def undershoots(edges: DataFrame, border: DataFrame, p: Params) -> DataFrame:
@@ -96,7 +105,8 @@ def undershoots(edges: DataFrame, border: DataFrame, p: Params) -> DataFrame:
     h = half_edges(graph_edges(edges)).where("len > 0")
     tips = graph_vertices(h).where("degree = 1").select("v")
     d = h.join(tips, "v").join(met, "eid", "left_anti").select("eid", "v", "x", "y", ((F.col("x") - F.col("xw")) / F.col("len")).alias("dx"), ((F.col("y") - F.col("yw")) / F.col("len")).alias("dy"))
-    ray = d.select(F.struct("eid", "v").alias("id"), F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + F.col("dx") * most).alias("x1"), (F.col("y") + F.col("dy") * most).alias("y1"))
+    d = cut(d)  # else the divisions would be written out again in every formula
+    ray = cut(d.select(F.struct("eid", "v").alias("id"), F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + F.col("dx") * most).alias("x1"), (F.col("y") + F.col("dy") * most).alias("y1")))
     axial = crossings(ray, b).groupBy("a_id").agg(F.min(F.struct((F.col("t") * most).alias("dist"), "x", "y")).alias("h")).select(F.col("a_id").alias("id"), F.col("h.dist").alias("ad"), F.col("h.x").alias("ax"), F.col("h.y").alias("ay"))
     near = best(points_near_segments(ray.select("id", F.col("x0").alias("x"), F.col("y0").alias("y")), b, most), "p_id", "s_id")
     seg = b.select(F.col("id").alias("s_id"), *[F.col(c).alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")])
@@ -198,6 +208,52 @@ def connect_lines(edges: DataFrame, cls: DataFrame, p: Params) -> DataFrame:
     return j.select("objectid", "edge", (F.col("t0") * F.col("len")).alias("s_from"), (F.col("t1") * F.col("len")).alias("s_to"), *[(F.col(f"p{a}{c}") - along(f"{a}0", f"{a}1", f"t{c}")).alias(f"d{a}{c}") for c in "01" for a in "xy"])
 
 
+def without_parts(edges: DataFrame, parts: DataFrame, precision: float = 1e-5) -> DataFrame:
+    """Edges without the parts (edge, s_from, s_to) that lines replace.
+
+    Parts of one edge are merged where they overlap; what is left between them, and
+    before the first and behind the last, are edges of their own, numbered behind
+    the edge's id.  Edges without a part stay as they are.
+    """
+    lo, hi = F.least("s_from", "s_to"), F.greatest("s_from", "s_to")
+    gone = parts.select(F.col("edge").alias("objectid"), lo.alias("lo"), hi.alias("hi"))
+    sized = edges.withColumn("_len", distance("x0", "y0", "x1", "y1"))
+    hit = gone.select("objectid").distinct()
+    # a mark without length at the edge's end closes the last gap
+    marks = gone.union(sized.join(hit, "objectid", "left_semi").select("objectid", F.col("_len").alias("lo"), F.col("_len").alias("hi")))
+    w = Window.partitionBy("objectid").orderBy("lo", "hi")
+    reach = F.coalesce(F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    gaps = marks.select("objectid", reach.alias("_a"), F.col("lo").alias("_b")).where(F.col("_b") - F.col("_a") > precision)
+    gaps = gaps.withColumn("_k", F.row_number().over(Window.partitionBy("objectid").orderBy("_a")))
+    j = sized.join(gaps, "objectid")
+    at = lambda c, s: F.col(f"{c}0") + (F.col(f"{c}1") - F.col(f"{c}0")) * F.col(s) / F.col("_len")
+    new = {"objectid": F.concat_ws("/", "objectid", "_k"), "x0": at("x", "_a"), "y0": at("y", "_a"), "x1": at("x", "_b"), "y1": at("y", "_b")}
+    left = j.select(*[new[c].alias(c) if c in new else F.col(c) for c in edges.columns])
+    return edges.join(hit, "objectid", "left_anti").select(edges.columns).union(left)
+
+
+def cut_at_points(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """Edges snapped to and cut at connecting points (objectid, edge, kind, s, x, y) of :func:`connect_points`.
+
+    An end takes the place of the point that snaps it (the smallest id of several);
+    at every other point the edge is cut, and both pieces end there.  Pieces are
+    numbered behind the edge's id; an edge without a cut keeps its id.
+    """
+    key = found.select(F.col("edge").alias("objectid"), F.col("objectid").alias("cp"), "kind", "s", F.col("x").alias("px"), F.col("y").alias("py"))
+    end = lambda kind: F.min(F.when(F.col("kind") == kind, F.struct("cp", "px", "py")))
+    tips = key.groupBy("objectid").agg(end("start").alias("_a"), end("end").alias("_b"), F.array_sort(F.collect_set(F.when(F.col("kind") == "cut", F.struct("s", "px", "py")))).alias("_cuts"))
+    e = edges.join(tips, "objectid")
+    pt = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    first = pt(F.coalesce("_a.px", "x0"), F.coalesce("_a.py", "y0"))
+    last = pt(F.coalesce("_b.px", "x1"), F.coalesce("_b.py", "y1"))
+    inner = F.transform("_cuts", lambda c: F.struct(c["px"].alias("x"), c["py"].alias("y")))
+    e = e.withColumn("_v", F.concat(F.array(first), inner, F.array(last))).select("*", F.posexplode(F.arrays_zip(F.slice("_v", 1, F.size("_v") - 1).alias("a"), F.slice("_v", 2, F.size("_v") - 1).alias("b"))).alias("_k", "_e"))
+    name = F.when(F.size("_cuts") == 0, F.col("objectid")).otherwise(F.concat_ws("/", "objectid", F.col("_k") + 1))
+    new = {"objectid": name, "x0": F.col("_e.a.x"), "y0": F.col("_e.a.y"), "x1": F.col("_e.b.x"), "y1": F.col("_e.b.y")}
+    cut_up = e.select(*[new[c].alias(c) if c in new else F.col(c) for c in edges.columns])
+    return edges.join(tips.select("objectid"), "objectid", "left_anti").select(edges.columns).union(cut_up)
+
+
 # 210 to 214
 
 
@@ -292,20 +348,22 @@ def merge_lines(cls: DataFrame, edges: DataFrame, p: Params) -> DataFrame:
 
 
 def snap_lines(cls: DataFrame, p: Params) -> DataFrame:
-    """Connecting lines whose free ends move to the middle between them and the nearest end of another line.
+    """Connecting lines whose free ends move to the middle between them and the nearest end of another line, which moves there too.
 
-    A free end is a vertex of degree 1; mutually nearest free ends apart by more
-    than nothing and at most the largest distance move.
+    A free end is a vertex of degree 1; the other line's end may have any degree.
+    Ends apart by more than nothing and at most the largest distance that are
+    each other's nearest move, a vertex once.
     """
     g = graph_edges(cls, 0.01)
-    tips = graph_vertices(half_edges(g)).where("degree = 1").select(F.col("v").alias("id"), "x", "y")
+    ends = cut(graph_vertices(half_edges(g)).select(F.col("v").alias("id"), "x", "y", "degree"))
     owner = half_edges(g).select(F.col("v").alias("id"), "eid")
-    near = points_near(tips, tips, p.cl_cl_closest_max_dist + 1e-9).where("a_id <> b_id and dist > 0")
-    near = near.join(owner.select(F.col("id").alias("a_id"), F.col("eid").alias("ea")), "a_id").join(owner.select(F.col("id").alias("b_id"), F.col("eid").alias("eb")), "b_id").where("ea <> eb")
-    pairs = mutual_best(near).select("a_id", "b_id")
-    # both directions of a pair are there; a point whose nearest isn't mutual stays
-    at = tips.select(F.col("id").alias("b_id"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    to = pairs.join(tips.withColumnRenamed("id", "a_id"), "a_id").join(at, "b_id").select(F.col("a_id").alias("v"), ((F.col("x") + F.col("bx")) / 2).alias("_x"), ((F.col("y") + F.col("by")) / 2).alias("_y"))
+    near = points_near(ends.where("degree = 1"), ends, p.cl_cl_closest_max_dist + 1e-9).where("a_id <> b_id and dist > 0")
+    same = owner.select(F.col("id").alias("a_id"), "eid").join(owner.select(F.col("id").alias("b_id"), "eid"), "eid").select("a_id", "b_id")
+    near = near.join(same, ["a_id", "b_id"], "left_anti")
+    both = near.union(near.select(F.col("b_id"), F.col("a_id"), "dist")).distinct()
+    pairs = mutual_best(both).select("a_id", "b_id")
+    at = ends.select(F.col("id").alias("b_id"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    to = pairs.join(ends.withColumnRenamed("id", "a_id"), "a_id").join(at, "b_id").select(F.col("a_id").alias("v"), ((F.col("x") + F.col("bx")) / 2).alias("_x"), ((F.col("y") + F.col("by")) / 2).alias("_y"))
     for end in "01":
         m = to.select(F.col("v").alias(f"v{end}"), "_x", "_y")
         g = g.join(m, f"v{end}", "left").withColumns({f"x{end}": F.coalesce("_x", f"x{end}"), f"y{end}": F.coalesce("_y", f"y{end}")}).drop("_x", "_y")

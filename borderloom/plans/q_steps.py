@@ -81,9 +81,10 @@ def step211(spark, d):
     return rounded(M.merge_lines(M.lines_by_country(e, net.boundary(spark, d), TN), e, TN), *ENDS)
 
 
-_SNAPPED = """, tips AS (SELECT x, y, min(k) AS k FROM (SELECT m AS k, x0 AS x, y0 AS y FROM c UNION ALL SELECT m, x1, y1 FROM c) GROUP BY x, y HAVING count(*) = 1),
- key AS (SELECT *, CAST(floor(x / 0.01 + 0.5) AS BIGINT) || ':' || CAST(floor(y / 0.01 + 0.5) AS BIGINT) AS id FROM tips),
- pr AS (SELECT a.id AS a, b.id AS b, a.x, a.y, b.x AS bx, b.y AS by_, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM key a JOIN key b ON b.x BETWEEN a.x - 3 AND a.x + 3 AND a.id <> b.id AND a.k <> b.k WHERE d > 0 AND d <= 2),
+_SNAPPED = """, ends AS (SELECT m AS k, x0 AS x, y0 AS y FROM c UNION ALL SELECT m, x1, y1 FROM c), vx AS (SELECT x, y, count(*) AS n, list(k) AS ks FROM ends GROUP BY x, y),
+ key AS (SELECT *, CAST(floor(x / 0.01 + 0.5) AS BIGINT) || ':' || CAST(floor(y / 0.01 + 0.5) AS BIGINT) AS id FROM vx),
+ one AS (SELECT a.id AS a, b.id AS b, a.x, a.y, b.x AS bx, b.y AS by_, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM key a JOIN key b ON a.n = 1 AND b.x BETWEEN a.x - 3 AND a.x + 3 AND a.id <> b.id AND NOT list_has_any(a.ks, b.ks) WHERE d > 0 AND d <= 2),
+ pr AS (SELECT * FROM one UNION SELECT b, a, bx, by_, x, y, d FROM one),
  bst AS (SELECT * FROM pr QUALIFY row_number() OVER (PARTITION BY a ORDER BY round(d, 9), b) = 1 AND row_number() OVER (PARTITION BY b ORDER BY round(d, 9), a) = 1)"""
 
 
@@ -131,13 +132,37 @@ def step220(spark, d):
     return rounded(M.connect_lines(net.edges(spark, d), net.connecting_lines(spark, d), TN).select("objectid", "edge", "s_from", "s_to"), "s_from", "s_to")
 
 
-def _no_lines(spark, d):
-    return net.connecting_lines(spark, d).limit(0)
+# two lines an edge, the first and the last third of the one there is
+_THIRDS = "SELECT objectid || CASE WHEN f = 0 THEN 'a' ELSE 'b' END AS objectid, country, linked_feat_id, m, x0 + (x1 - x0) * f / 3 AS x0, y0 + (y1 - y0) * f / 3 AS y0, x0 + (x1 - x0) * (f + 1) / 3 AS x1, y0 + (y1 - y0) * (f + 1) / 3 AS y1"
 
 
-@query("step240_crossing_points", "SELECT objectid AS edge, round(x0 + (x1 - x0) * (y0 / (y0 - y1)), 6) + 0.0 AS x FROM edges WHERE y0 <> y1 AND y0 / (y0 - y1) BETWEEN 0 AND 1")
+@query("step220_cut_edges", f""", two AS ({_THIRDS} FROM cls, (VALUES (0), (2)) AS v(f)), pc AS (SELECT e.objectid, e.len, c.x0 AS cx0, c.y0 AS cy0, c.x1 AS cx1, c.y1 AS cy1, e.x0, e.y0, e.x1, e.y1 FROM two c JOIN edges e ON e.m = c.m),
+ tt AS (SELECT *, least(1, greatest(0, ((cx0 - x0) * (x1 - x0) + (cy0 - y0) * (y1 - y0)) / (len * len))) AS r0, least(1, greatest(0, ((cx1 - x0) * (x1 - x0) + (cy1 - y0) * (y1 - y0)) / (len * len))) AS r1 FROM pc),
+ sn AS (SELECT *, CASE WHEN r0 * len < 1 THEN 0 WHEN (1 - r0) * len < 1 THEN 1 ELSE r0 END * len AS s0, CASE WHEN r1 * len < 1 THEN 0 WHEN (1 - r1) * len < 1 THEN 1 ELSE r1 END * len AS s1 FROM tt),
+ mk AS (SELECT objectid, least(s0, s1) AS lo, greatest(s0, s1) AS hi FROM sn UNION ALL SELECT DISTINCT objectid, len, len FROM sn),
+ gp AS (SELECT objectid, coalesce(max(hi) OVER (PARTITION BY objectid ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, lo AS b FROM mk),
+ nb AS (SELECT *, row_number() OVER (PARTITION BY objectid ORDER BY a) AS nth FROM gp WHERE b - a > 1e-5)
+ SELECT objectid || '/' || nth AS objectid, round(x0 + (x1 - x0) * a / len, 6) + 0.0 AS x0, round(y0 + (y1 - y0) * a / len, 6) + 0.0 AS y0, round(x0 + (x1 - x0) * b / len, 6) + 0.0 AS x1, round(y0 + (y1 - y0) * b / len, 6) + 0.0 AS y1 FROM nb JOIN edges e USING (objectid)
+ UNION ALL SELECT objectid, round(x0, 6) + 0.0, round(y0, 6) + 0.0, round(x1, 6) + 0.0, round(y1, 6) + 0.0 FROM edges WHERE objectid NOT IN (SELECT objectid FROM sn)""")
+def step220_cut(spark, d):
+    c = net.connecting_lines(spark, d)
+    third = lambda f: c.withColumns({k: F.expr(f"{k[0]}0 + ({k[0]}1 - {k[0]}0) * {f + int(k[1])} / 3") for k in ENDS}).withColumn("objectid", F.concat("objectid", F.lit("a" if f == 0 else "b")))
+    e = net.edges(spark, d)
+    return rounded(M.without_parts(e, M.connect_lines(e, third(0).union(third(2)), TN)).select("objectid", *ENDS), *ENDS)
+
+
+# crossings of edges with the border, each moved to the nearest crossing of the edge with a connecting line
+_CROSS = """, at0 AS (SELECT objectid AS edge, country, form_of_way AS way, m, x0, y0, x1, y1, round(y0 / (y0 - y1), 9) AS t, x0 + (x1 - x0) * (y0 / (y0 - y1)) AS x, 0.0 AS y FROM edges WHERE y0 <> y1 AND y0 / (y0 - y1) BETWEEN 0 AND 1),
+ ec AS (SELECT e.objectid AS edge, c.objectid AS cl, e.x0, e.y0, e.x1, e.y1, c.x0 AS u0, c.y0 AS v0, c.x1 AS u1, c.y1 AS v1 FROM edges e JOIN cls c ON c.m BETWEEN e.m - 8 AND e.m + 8),
+ et AS (SELECT *, (x1 - x0) * (v1 - v0) - (y1 - y0) * (u1 - u0) AS den FROM ec), eu AS (SELECT *, ((u0 - x0) * (v1 - v0) - (v0 - y0) * (u1 - u0)) / den AS t, ((x0 - u0) * (y1 - y0) - (y0 - v0) * (x1 - x0)) / ((u1 - u0) * (y1 - y0) - (v1 - v0) * (x1 - x0)) AS u FROM et WHERE den <> 0),
+ cx AS (SELECT edge, cl, x0 + (x1 - x0) * t AS cx, y0 + (y1 - y0) * t AS cy FROM eu WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1),
+ nr AS (SELECT a.edge, a.t, cx, cy FROM at0 a JOIN cx USING (edge) WHERE sqrt((cx - x) * (cx - x) + (cy - y) * (cy - y)) <= 5 QUALIFY row_number() OVER (PARTITION BY a.edge, a.t ORDER BY round(sqrt((cx - x) * (cx - x) + (cy - y) * (cy - y)), 9), cl, cx, cy) = 1),
+ xp AS (SELECT 'X' || edge AS id, edge, country, way, coalesce(cx, x) AS x, coalesce(cy, y) AS y FROM at0 LEFT JOIN nr USING (edge, t))"""
+
+
+@query("step240_crossing_points", _CROSS + " SELECT id, edge, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y FROM xp")
 def step240_crossings(spark, d):
-    return rounded(M.crossing_points(net.edges(spark, d), net.boundary(spark, d), _no_lines(spark, d), TN).select("edge", "x"), "x")
+    return rounded(M.crossing_points(net.edges(spark, d), net.boundary(spark, d), net.connecting_lines(spark, d), TN).select("id", "edge", "x", "y"), "x", "y")
 
 
 _LOOSE = """, half AS (SELECT k, p, x0 AS x, y0 AS y, x1 AS xw, y1 AS yw, len FROM edges UNION ALL SELECT k, p, x1, y1, x0, y0, len FROM edges), deg AS (SELECT x, y FROM half GROUP BY x, y HAVING count(*) = 1),
@@ -149,8 +174,10 @@ def step240_undershoots(spark, d):
     return rounded(M.undershoots(net.edges(spark, d), net.boundary(spark, d), TN).select("edge", "x", "y"), "x", "y")
 
 
-_POINTS = """, pts AS (SELECT 'X' || objectid AS id, objectid AS edge, country, form_of_way AS way, x0 + (x1 - x0) * (y0 / (y0 - y1)) AS x FROM edges WHERE y0 <> y1 AND y0 / (y0 - y1) BETWEEN 0 AND 1),
- pr AS (SELECT a.id AS a_id, b.id AS b_id, abs(a.x - b.x) AS dist, CASE WHEN a.way <> 'road' AND b.way <> 'road' THEN 12 ELSE 5 END AS most FROM pts a JOIN pts b ON a.country = 'be' AND b.country = 'fr' AND b.x BETWEEN a.x - 12 AND a.x + 12 WHERE dist < most),
+_UNDER = """SELECT k, CAST(k AS VARCHAR) AS edge, x AS tx, y AS ty, CASE WHEN ad IS NULL OR ad > 25 OR od < ad / 3 THEN x ELSE x + ad * (x - xw) / len END AS ux FROM tip WHERE (ad <= 25 OR od < 25) AND x BETWEEN -10 AND (SELECT max(i) * 175 + 165 FROM edges)"""
+_POINTS = _CROSS + _LOOSE + f""", un AS ({_UNDER}),
+ pts AS (SELECT * FROM xp UNION ALL SELECT 'U' || un.edge || '@' || CAST(floor(tx / 1e-5 + 0.5) AS BIGINT) || ':' || CAST(floor(ty / 1e-5 + 0.5) AS BIGINT), un.edge, e.country, e.form_of_way, ux, 0.0 FROM un JOIN edges e ON e.k = un.k),
+ pr AS (SELECT a.id AS a_id, b.id AS b_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist, CASE WHEN a.way <> 'road' AND b.way <> 'road' THEN 12 ELSE 5 END AS most FROM pts a JOIN pts b ON a.country = 'be' AND b.country = 'fr' AND b.x BETWEEN a.x - 12 AND a.x + 12 WHERE dist < most),
  mu AS (SELECT a_id, b_id FROM pr QUALIFY row_number() OVER (PARTITION BY a_id ORDER BY round(dist, 9), b_id) = 1 AND row_number() OVER (PARTITION BY b_id ORDER BY round(dist, 9), a_id) = 1),
  began AS (SELECT a_id AS id, a_id AS grp FROM mu UNION ALL SELECT b_id, a_id FROM mu), sides AS (SELECT a_id AS id, b_id AS other, dist FROM pr UNION ALL SELECT b_id, a_id, dist FROM pr),
  rest AS (SELECT * FROM (SELECT id, other FROM sides QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(dist, 9), other) = 1) WHERE id NOT IN (SELECT id FROM began)),
@@ -159,7 +186,8 @@ _POINTS = """, pts AS (SELECT 'X' || objectid AS id, objectid AS edge, country,
 
 
 def _points(spark, d):
-    return M.crossing_points(net.edges(spark, d), net.boundary(spark, d), _no_lines(spark, d), TN)
+    e, b = net.edges(spark, d), net.boundary(spark, d)
+    return M.cut(M.crossing_points(e, b, net.connecting_lines(spark, d), TN)).union(M.cut(M.undershoots(e, b, TN)))
 
 
 @query("step240_pair_points", _POINTS + " SELECT grp AS \"group\", id FROM mem")
@@ -178,14 +206,15 @@ def step240_snap(spark, d):
     return rounded(M.snap_points_to_lines(cps, net.connecting_lines(spark, d), TN), "t", "x", "y")
 
 
-@query("step250_connect_points", _POINTS + """, cp AS (SELECT 'CONNECTINGPOINT' || grp AS objectid, avg(x) AS px FROM mem JOIN pts USING (id) GROUP BY grp), own AS (SELECT 'CONNECTINGPOINT' || grp AS objectid, edge FROM mem JOIN pts USING (id)),
- j AS (SELECT o.objectid, o.edge, e.*, px FROM own o JOIN cp USING (objectid) JOIN edges e ON e.objectid = o.edge), t AS (SELECT *, least(1, greatest(0, ((px - x0) * (x1 - x0) + (0 - y0) * (y1 - y0)) / (len * len))) AS t FROM j)
- SELECT objectid, edge, CASE WHEN t * len < 1 AND t * len <= (1 - t) * len THEN 'start' WHEN (1 - t) * len < 1 THEN 'end' ELSE 'cut' END AS kind FROM t""")
+@query("step250_connect_points", _POINTS + """, cp AS (SELECT 'CONNECTINGPOINT' || grp AS objectid, avg(x) AS px FROM mem JOIN pts USING (id) GROUP BY grp), own AS (SELECT DISTINCT 'CONNECTINGPOINT' || grp AS objectid, edge FROM mem JOIN pts USING (id)),
+ j AS (SELECT o.objectid, o.edge, e.* EXCLUDE (objectid), px FROM own o JOIN cp USING (objectid) JOIN edges e ON e.objectid = o.edge), t AS (SELECT *, least(1, greatest(0, ((px - x0) * (x1 - x0) + (0 - y0) * (y1 - y0)) / (len * len))) AS t FROM j)
+, kd AS (SELECT *, CASE WHEN t * len < 1 AND t * len <= (1 - t) * len THEN 'start' WHEN (1 - t) * len < 1 THEN 'end' ELSE 'cut' END AS kind FROM t), sd AS (SELECT *, CASE kind WHEN 'start' THEN 0 WHEN 'end' THEN 1 ELSE t END AS q FROM kd)
+ SELECT objectid, edge, kind, round(q * len, 6) + 0.0 AS s, round(px - (x0 + (x1 - x0) * q), 6) + 0.0 AS dx, round(0 - (y0 + (y1 - y0) * q), 6) + 0.0 AS dy FROM sd""")
 def step250(spark, d):
     groups = M.cut(M.pair_points(_points(spark, d), TN))
     cps = M.connecting_points(groups, net.boundary(spark, d)).select("objectid", "x", "y")
-    own = groups.select(F.concat(F.lit("CONNECTINGPOINT"), "group").alias("objectid"), "edge")
-    return M.connect_points(net.edges(spark, d), own.join(cps, "objectid"), TN).select("objectid", "edge", "kind")
+    own = groups.select(F.concat(F.lit("CONNECTINGPOINT"), "group").alias("objectid"), "edge").distinct()
+    return rounded(M.connect_points(net.edges(spark, d), own.join(cps, "objectid"), TN), "s", "dx", "dy")
 
 
 @query("d1_a7_mean_displacements", "SELECT round(avg(x1 - x0), 6) + 0.0 AS dx, round(avg(y1 - y0), 6) + 0.0 AS dy, x0 + 0.0 AS x, y0 + 0.0 AS y FROM edges GROUP BY x0, y0")
@@ -214,7 +243,7 @@ def h8(spark, d):
     return C.clean_parallel_edges(e.union(twice), net.land(spark, d), TN).select("objectid")
 
 
-@query("a3_first_part_length", "SELECT i * 2 + p AS chain, round(coalesce(sum(len) FILTER (m < coalesce(brk, 1e18)), 0), 6) + 0.0 AS length FROM (SELECT *, min(CASE WHEN k % 5 = 0 THEN m END) OVER (PARTITION BY i, p) AS brk FROM edges) GROUP BY i, p")
+@query("a3_first_part_length", "SELECT i * 2 + p AS chain, round(coalesce(sum(len * CASE WHEN k % 5 = 0 THEN 0.5 ELSE 1 END) FILTER (m <= coalesce(brk, 1e18)), 0), 6) + 0.0 AS length FROM (SELECT *, min(CASE WHEN k % 5 = 0 THEN m END) OVER (PARTITION BY i, p) AS brk FROM edges) GROUP BY i, p")
 def a3(spark, d):
     e = G.graph_edges(net.edges(spark, d)).select(F.expr("(m div 7) * 2 + p").alias("chain"), F.col("m").alias("pos"), "len", F.expr("case when k % 5 = 0 then 0.5D else 1D end").alias("ratio"))
     return rounded(C.first_part_length(e), "length")

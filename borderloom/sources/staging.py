@@ -1,15 +1,29 @@
-"""Reliable cuts of the lineage for iterative plans, in the checkpoint folder that driver and executors share."""
+"""Cuts of the lineage for iterative plans, in the checkpoint folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; a session on one machine without any (tests, a laptop) gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = held.get() if held.isDefined() else None
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="borderloom-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's checkpoint folder; one is set where there is none (tests, a laptop)."""
+    """``df`` written to the session's checkpoint folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="borderloom-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
