@@ -92,8 +92,9 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_records(records: DataFrame) -> DataFrame:
     """Rows (page_id, url, payload_bytes, payload_digest, record_type, refers_to, digest_ok) of :func:`read_archive`."""
-    head = F.substring_index(F.col("record").cast("string"), END + END, 1)
-    field = lambda name: F.regexp_extract("head", f"(?m)^{name}: (.*?)\r?$", 1)
+    head = F.concat(F.lit(END), F.substring_index(F.col("record").cast("string"), END + END, 1), F.lit(END))
+    # a field ends at its \\r\\n alone: a URL may hold other line ends of Unicode
+    field = lambda name: F.regexp_extract("head", f"(?s)\r\n{name}: (.*?)\r\n", 1)
     number = lambda c: F.regexp_extract(c, "<urn:page:(-?[0-9]+)>", 1).try_cast("long")
     return (
         records.select(head.alias("head"), "payload", base32_sha1(F.col("payload")).alias("payload_digest"))
