@@ -7,8 +7,8 @@ bits each and packed, so every position of the filter window gives one unsigned
 32-bit integer.
 
 Recordings with equal fingerprints are one class.  Two classes are candidates
-when they share a landmark, two consecutive and different integers; shared
-landmarks vote for the offset between their positions, and at the offset with
+when they share a landmark, a byte of four consecutive integers; shared
+landmarks vote for the offset between their positions, and at the offsets with
 most votes the bit errors of the overlap are counted.  A stationary sound
 repeats one integer, has no landmark and is found through its class only.
 """
@@ -35,7 +35,9 @@ FILTERS = [(k % 6, (5 * k) % 8, 2 + k % 4 if k % 6 else 1 + k % 3, (4, 8, 12, 16
 CUTS = (-0.12, 0.0, 0.12)
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 MOST_ERRORS = 0.35
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+OFFSETS = 8  # of most votes, whose bit errors are counted
+MOST_HITS = 2_000_000  # landmark hits that are counted at once
 MATCHES = "array<struct<match: bigint, match_offset: bigint, overlap: bigint, bit_error_rate: double>>"
 
 
@@ -107,8 +109,15 @@ def items(c: np.ndarray) -> np.ndarray:
     return out
 
 
+def filled(x: np.ndarray, frame: int, hop: int) -> np.ndarray:
+    """A signal, played again and again until it gives WIDTH integers if it is too short for that; nothing stays nothing."""
+    least = frame + (2 * WIDTH - 2) * hop
+    return np.resize(x, least) if 0 < len(x) < least else x
+
+
 def fingerprint(data: bytes, kind: str = "u8", rate: int = RATE, frame: int = FRAME, hop: int = HOP, matrix: np.ndarray | None = None) -> np.ndarray:
-    return items(chroma(signal(data, kind), pitch_matrix(rate, frame) if matrix is None else matrix, frame, hop))
+    """Packed integers of PCM bytes; a short recording is played again until it has WIDTH of them, and only one without a sample has none."""
+    return items(chroma(filled(signal(data, kind), frame, hop), pitch_matrix(rate, frame) if matrix is None else matrix, frame, hop))
 
 
 def bit_errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, int]:
@@ -139,11 +148,12 @@ def fingerprints(recordings: DataFrame, id_col: str, data_col: str, kind: str =
 
 
 class QueryBlock:
-    """Some query classes, with their landmarks in a sorted array."""
+    """Some query classes, with their landmarks in a sorted array (16 bytes an integer and landmark, about 20 times the fingerprints)."""
 
     def __init__(self, names: list[int], prints: list[bytes]):
         self.names = names
         self.prints = [np.frombuffer(x, "<u4") for x in prints]
+        self.size = np.array([len(x) for x in self.prints], np.int64)
         marks = [landmarks(x) for x in self.prints]
         key = np.concatenate([k for k, _ in marks]) if marks else np.zeros(0, np.int64)
         order = np.argsort(key, kind="stable")
@@ -156,28 +166,55 @@ class QueryBlock:
         key, place = landmarks(x)
         lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         n = hi - lo
-        if not n.sum():
+        total = np.cumsum(n)
+        if not len(n) or not total[-1]:
             return []
-        hit = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        owner, offset = self.owner[hit], self.place[hit] - np.repeat(place, n)
-        pairs, votes = np.unique(np.stack([owner, offset], 1), axis=0, return_counts=True)
+        # a sound that returns again and again meets itself very often: count such hits in runs
+        codes, votes = [], []
+        for run in np.split(np.arange(len(n)), np.flatnonzero(np.diff(total // MOST_HITS)) + 1):
+            m = n[run]
+            hit = np.repeat(lo[run] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
+            code, count = np.unique(self.owner[hit].astype(np.int64) << 32 | (self.place[hit] - np.repeat(place[run], m) + (1 << 31)), return_counts=True)
+            codes.append(code)
+            votes.append(count)
+        code, back = np.unique(np.concatenate(codes), return_inverse=True)
+        votes = np.bincount(back, np.concatenate(votes))
+        pairs = np.stack([code >> 32, (code & 0xFFFFFFFF) - (1 << 31)], 1)
+        # votes for offsets with too little overlap go to the nearest one with enough
+        few, many = least_overlap - len(x), self.size[pairs[:, 0]] - least_overlap
+        fits = few <= many
+        moved = np.column_stack([pairs[fits, 0], np.clip(pairs[fits, 1], few, many[fits])])
+        pairs, back = np.unique(moved, axis=0, return_inverse=True)
+        votes = np.bincount(back.ravel(), votes[fits])
         order = np.lexsort((pairs[:, 1], -votes, pairs[:, 0]))
-        first = order[np.unique(pairs[order, 0], return_index=True)[1]]  # a query's offset of most votes, the smaller of equal ones
-        found = []
-        for q, at in pairs[first].tolist():
+        at = pairs[order, 0]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        found: dict[int, tuple] = {}
+        for q, at in pairs[order[rank < OFFSETS]].tolist():
             if self.names[q] == own:
                 continue
             overlap, errors = bit_errors(self.prints[q], x, at)
             if overlap >= least_overlap and errors <= most_errors * 32 * overlap:
-                found.append((errors / (32.0 * overlap), -overlap, self.names[q], at))
-        return found
+                new = (errors / (32.0 * overlap), -overlap, self.names[q], at)
+                found[q] = min(found.get(q, new), new)
+        return list(found.values())
 
 
 def landmarks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of consecutive, different integers as 64-bit keys, and their places."""
-    x = x.astype(np.int64)
-    at = np.flatnonzero(x[1:] != x[:-1])
-    return (x[at] << 32) | x[at + 1], at
+    """Each byte of four consecutive integers, if it isn't the same in all, as a key with the byte's number, and its place.
+
+    A byte of few filters outlives noise that the whole integer doesn't.
+    """
+    if len(x) < 4:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, places = [], []
+    for lane in range(4):
+        y = (x.astype(np.int64) >> (8 * lane)) & 255
+        key = y[:-3] << 24 | y[1:-2] << 16 | y[2:-1] << 8 | y[3:]
+        at = np.flatnonzero(key != y[:-3] * 0x01010101)
+        keys.append(key[at] | lane << 32)
+        places.append(at)
+    return np.concatenate(keys), np.concatenate(places)
 
 
 def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_errors: float = MOST_ERRORS, least_overlap: int = WIDTH, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
@@ -191,15 +228,18 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
     in a query's class matches it at offset 0 without errors.  match_offset is
     the recording's first integer's place in the match.  matches, on the rows whose
     id is the class_id, has every other query class that the class is aligned with
-    within the limits, at the offset of most votes, best first; classes with a query
+    within the limits, at the best of the OFFSETS offsets of most votes, best first; classes with a query
     have theirs as well.
 
-    Query classes go to the executors in blocks of about ``block_bytes``, and
+    Query classes go to the executors in blocks of about ``block_bytes`` of fingerprints, and
     every class is held against every block; a class is held once, however many
     recordings it has, and gives one row for each query class it is aligned with.
 
-    Null or short recordings have no integers and no match.  Null ids are never
-    queries.  Repeated rows stay.  An empty table gives an empty result.
+    A short recording is played again until it has WIDTH integers (see
+    :func:`fingerprint`).  Null recordings and those without a sample have no
+    integers and no match.  Null ids are never queries.  Of equally good matches the
+    smaller id is taken.  Repeated rows stay.  Other columns are ignored, whatever
+    their names.  An empty table gives an empty result.
     """
     spark = recordings.sparkSession
     prints = stage(fingerprints(recordings, id_col, data_col, **options), "fingerprints")
