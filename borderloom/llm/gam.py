@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import Texts, chunks, trimmed
-from .store import stage
+from .store import named
 from .text_stats import text_stats
 
 MAX_ROWS = 20_000
@@ -161,47 +161,42 @@ def featured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def held_out(id_col: str):
     """Whether a row is kept from training: crc32 of its id as text leaves no remainder by 5; a null id is."""
-    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(True))
+    return F.coalesce(F.pmod(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(True))
 
 
-def train(featured_docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", max_rows: int = MAX_ROWS) -> Gam:
-    """Fit on labelled rows that aren't held out, at most about ``max_rows`` of them, taken by a hash of the id."""
-    lab = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where("_y in (0, 1)").where(~held_out("_id"))
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> Gam:
+    """Fit on labelled rows that aren't held out, at most about ``max_rows`` of them, taken by a hash of the id.
+
+    Only their features are computed.  Labels other than 0 and 1 and null ids don't
+    count; a row labelled twice counts twice; null texts are empty; without any row
+    every score is 0.5.
+    """
+    lab = labels.select(F.col(f"`{named(labels, id_col)}`").cast("string").alias("_id"), F.col(f"`{named(labels, label_col)}`").cast("int").alias("_y")).where("_y in (0, 1)").where(~held_out("_id"))
     n = lab.count()
     lab = lab.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < F.lit(1_000_000 * max_rows // max(n, max_rows)))
-    rows = featured_docs.select(F.col(id_col).alias("_id"), "_features").join(lab, "_id").select("_id", "_features", "_y").orderBy("_id").toArrow()
+    texts = docs.select(F.col(f"`{named(docs, id_col)}`").cast("string").alias("_id"), F.col(f"`{named(docs, text_col)}`").cast("string").alias("text"))
+    # about max_rows ids, whatever the size of the table
+    rows = featured(texts.join(F.broadcast(lab), "_id")).select("_id", "_features", "_y").toArrow()
     x = np.array(rows.column("_features").to_pylist(), float).reshape(-1, len(FEATURES))
-    return fit(x, rows.column("_y").to_numpy().astype(float))
-
-
-def scored(featured_docs: DataFrame, model: Gam, threshold: float = 0.3) -> DataFrame:
-    """The rows with score and predicted instead of _features."""
-    rest = [c for c in featured_docs.columns if c.lower() not in ("_features", "score", "predicted")]
-    shared = featured_docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column(batch.num_columns - 1)
-            p = shared.value.score(values.flatten().to_numpy().reshape(-1, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*rest, "score", "predicted"])
-
-    out = featured_docs.select(*[f"`{c}`" for c in rest], "_features")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields[:-1]) + ", score double, predicted int"
-    return out.mapInArrow(run, schema)
+    y = rows.column("_y").to_numpy().astype(float)
+    order = np.lexsort((*x.T, y, np.array(rows.column("_id").to_pylist(), str)))
+    return fit(x[order], y[order])
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, max_rows: int = MAX_ROWS) -> DataFrame:
     """``docs`` with held_out, score (0 to 1) and predicted (1 if score >= ``threshold``).
 
-    Inputs of a score are counts of the text alone.  A null text counts as empty
+    Inputs of a score are counts of the whole text alone, however long it is; equal
+    texts have equal scores.  A null text counts as empty
     and is scored so.  Rows with a null id are held out.  Labels other than 0 and 1
     are ignored; without any every score is 0.5.  A repeated labelled row counts
     each time.  Other columns stay; columns named held_out, score or predicted
     are replaced.  An empty table gives an empty result.
     """
-    docs = docs.drop("held_out", "score", "predicted").withColumn(text_col, F.col(text_col).cast("string"))
-    only = stage(featured(docs.select(F.col(id_col), F.col(text_col)), text_col).select(id_col, "_features"), "features")
-    model = train(only, labels, label_col, id_col, max_rows)
+    docs = docs.drop("held_out", "score", "predicted")
+    id_col, text_col = named(docs, id_col), named(docs, text_col)
+    docs = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    model = train(docs, labels, label_col, id_col, text_col, max_rows)
     where, names = docs.columns.index(text_col), docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -217,8 +212,5 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, label_col: str = "qua
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Rows (doc_id, held_out, score, predicted) of :func:`quality_classifier`, with features computed once."""
-    threshold = options.pop("threshold", 0.3)
-    only = stage(featured(docs.select("doc_id", "text")).select("doc_id", "_features"), "features")
-    model = train(only, labels, **options)
-    return scored(only, model, threshold).withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted")
+    """Rows (doc_id, held_out, score, predicted) of :func:`quality_classifier`, with its treatment of nulls, repeats and empty tables."""
+    return quality_classifier(docs.select("doc_id", "text"), labels, **options).select("doc_id", "held_out", "score", "predicted")
