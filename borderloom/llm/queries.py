@@ -16,7 +16,7 @@ from .lines import drop_frequent_lines
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
 from .quality_rules import BASE, quality_rules
-from .quotes import link_quotes
+from .quotes import link_quotes, quoting_replies
 from .store import shared_dir, small_batches
 from .warc import parse_records, read_archive, write_archive
 
@@ -60,8 +60,9 @@ def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = link_quotes(_table(spark, sf_dir, "conversations"))
-    return linked.select("conv_id", "turn", "role", "text", "n_quotes", "n_linked", "reply_to", "thread", "depth")
+    """The table's turns hold no quotations: they are made by a rule (see quoting_replies)."""
+    linked = link_quotes(quoting_replies(_table(spark, sf_dir, "conversations")))
+    return linked.select("conv_id", "position", "turn", "role", "text", "n_quotes", "n_linked", "reply_to", "thread", "depth")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
