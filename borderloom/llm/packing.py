@@ -8,7 +8,7 @@ tiers, best fit first, then with the front of a longer item cut to size.  What
 can't fill a window of a smaller tier is bundled into the largest windows.  So
 every sequence is as long as its tier, a power of two, but for the last one of a
 group, which alone is padded.  Step groups hold sequences of one length and an
-equal number of tokens.
+equal number of tokens, over all packs.
 
 Documents are dealt to groups of about GROUP by a hash of a row number, which is
 fixed by a written table before the deal; a group holds at most GROUP tails of
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .arrow_text import trimmed
@@ -38,6 +39,7 @@ GROUP = 2000  # documents packed together: at most 2000 tails of 2047 ids, 16 MB
 MIN_CUT = 16
 STEP_TOKENS = 16 * 2048
 END_ID = 1
+RUN = 10_000  # packs whose sequences are added up together
 
 
 class RankEncoder:
@@ -126,6 +128,7 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[tuple[
     return [*done, window] if window else done
 
 
+#: step_group holds the sequence's place among those of its window in the pack, until packs are put in order
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("sequence_tokens", pa.int64()), ("window", pa.int64()), ("step_group", pa.int64())])
 PIECES_SQL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, window long, step_group long"
 
@@ -142,10 +145,10 @@ def _pack_group(key: tuple, table: pa.Table) -> pa.Table:
     for s, window in enumerate(sequences):
         total = sum(p[2] for p in window)
         padded = total if total & (total - 1) == 0 else top
-        step, offset = filled[padded] // STEP_TOKENS, 0
-        filled[padded] += padded
+        place, offset = filled[padded], 0
+        filled[padded] += 1
         for k, start, n, crc in window:
-            for name, value in zip(PIECES.names, (rows[k]["doc_id"], start, n, crc, top * len(rows[k]["whole"]) + tails[k], (group << 32) + s, offset, total, padded, (group << 32) + (padded.bit_length() << 24) + step)):
+            for name, value in zip(PIECES.names, (rows[k]["doc_id"], start, n, crc, top * len(rows[k]["whole"]) + tails[k], (group << 32) + s, offset, total, padded, place)):
                 out[name].append(value)
             offset += n
     return pa.Table.from_pydict(out, schema=PIECES)
@@ -158,8 +161,8 @@ def pack_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
     document's ids before the piece, ``offset`` the sequence's.  ``ids_crc32`` is of
     the piece's ids as little-endian unsigned 32-bit integers.  ``window`` is the
     sequence's padded length: sequence_tokens if that is a power of two, else 2048.
-    ``step_group`` numbers groups of sequences of one window with STEP_TOKENS
-    tokens at most.
+    ``step_group`` names groups of sequences of one window with STEP_TOKENS tokens
+    each, over the whole table; only the last group of a window may have fewer.
 
     A null text counts as empty and gives one piece, END_ID.  Null ids and
     repeated rows are documents of their own.  An empty table gives an empty
@@ -185,4 +188,13 @@ def pack_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
     coded = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(ids, "doc_id long, whole array<long>, tail binary")
     held = stage(coded.withColumn("row", F.monotonically_increasing_id()), "tails")
     groups = max(1, -(-held.count() // group))
-    return held.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(groups))).groupBy("pack").applyInArrow(_pack_group, PIECES_SQL)
+    packed = stage(held.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(groups))).groupBy("pack").applyInArrow(_pack_group, PIECES_SQL), "pieces")
+    # where the sequences of a pack begin among all of their window: a row for each pack and window, added up in two levels
+    size = packed.groupBy(F.shiftright("sequence_id", 32).alias("pack"), F.col("window").alias("w")).agg((F.max("step_group") + 1).alias("n"))
+    size = size.withColumn("run", F.floor(F.col("pack") / RUN))
+    before = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    run = size.groupBy("w", "run").agg(F.sum("n").alias("n")).select("w", "run", before("w", "run").alias("above"))
+    begin = size.select("w", "run", "pack", before("w", "run", "pack").alias("within")).join(run, ["w", "run"]).select("w", "pack", (F.col("above") + F.col("within")).alias("begin"))
+    at = packed.join(begin, (F.shiftright("sequence_id", 32) == F.col("pack")) & (F.col("window") == F.col("w")))
+    step = F.floor((F.col("begin") + F.col("step_group")) * F.col("window") / STEP_TOKENS)
+    return at.select(*[(F.col("window") * F.lit(1 << 44) + step).cast("long").alias(c) if c == "step_group" else F.col(c) for c in packed.columns])
