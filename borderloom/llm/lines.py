@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from .arrow_text import trimmed
-from .store import stage, unused
+from .store import named, stage, unused
 
 FREQUENT = 500_000  # 16-byte hashes, 8 MB
 FLUSH = 200_000
@@ -42,7 +42,12 @@ def _hashes(text: str | None, min_chars: int) -> list[bytes | None]:
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text_col: str = "text") -> DataFrame:
-    """Rows (line binary, docs long): hashes of normalised lines that at least ``min_docs`` documents have."""
+    """Rows (line binary, docs long): hashes of normalised lines that at least ``min_docs`` documents have.
+
+    A null text is one empty line; keys of fewer than ``min_chars`` code points don't
+    count; a document counts once for a line, and repeated rows are documents of their
+    own.  Other columns are ignored; an empty table gives an empty result.
+    """
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +66,7 @@ def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text
         if count:
             yield flush()
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "line binary, docs long")
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, "line binary, docs long")
     return rows.groupBy("line").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
 
 
@@ -77,6 +82,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
+    text_col = named(docs, text_col)
     frequent = stage(frequent_lines(docs, min_docs, min_chars, text_col).select("line"), "frequent-lines")
     n = frequent.count()
     names = docs.columns
@@ -108,7 +114,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                     texts = part.column(where).to_pylist()
                     yield rebuilt(part, texts, [[h in gone for h in _hashes(t, min_chars)] for t in texts])
 
-        return docs.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(here, schema)
+        return docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string")).mapInArrow(here, schema)
 
     @trimmed
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +139,9 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                 drops.append([p in at for p in range((t or "").count("\n") + 1)])
             yield rebuilt(batch, texts, drops)
 
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
     hits = texts.mapInArrow(lines, "content binary, pos int, line binary").join(frequent, "line", "left_semi")
     marked = hits.groupBy(F.col("content").alias(content)).agg(F.collect_set("pos").alias(drop_col))
-    typed = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    typed = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
     with_content = typed.mapInArrow(digests, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in typed.schema)}, {content} binary")
     return with_content.join(marked, content, "left").select(*[f"`{c}`" for c in docs.columns], drop_col).mapInArrow(there, schema)

@@ -1,26 +1,21 @@
 """Intermediate tables in the folder that driver and executors share.
 
-The folder is the one the cluster names in ``spark.checkpoint.dir``; where the
-session has none (tests, a laptop) a temporary one is set.
+The folder is the one the cluster names in ``spark.checkpoint.dir``; a session on
+one machine without any (tests, a laptop) gets a temporary one, on a cluster that is
+an error.  Tables that nothing deletes before go when the session ends.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from borderloom.sources.staging import shared_folder
+
 
 def shared_dir(spark: SparkSession) -> str:
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not set_dir:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        set_dir = held.get() if held.isDefined() else None
-    if not set_dir:
-        set_dir = tempfile.mkdtemp(prefix="borderloom-")
-        spark.sparkContext.setCheckpointDir(set_dir)
-    return set_dir.rstrip("/")
+    return shared_folder(spark)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
@@ -29,11 +24,17 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> No
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: a cut of the lineage that outlives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _files(spark, path)[0].deleteOnExit(_files(spark, path)[1])
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
@@ -43,9 +44,8 @@ def discard(df: DataFrame) -> None:
     """Delete a staged table that nothing will read again."""
     path = getattr(df, "_staged_at", None)
     if path:
-        spark = df.sparkSession
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        files, at = _files(df.sparkSession, path)
+        files.delete(at, True)
 
 
 def unused(columns: list[str], name: str) -> str:

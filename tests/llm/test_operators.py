@@ -1,8 +1,10 @@
 """Every operator against brute force, on awkward and on empty tables."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -370,7 +372,7 @@ def test_warc(spark, tmp_path):
     import base64
 
     html = [None, "", "<p>a</p>", "<p>a</p>", "é漢🙂" * 50, "é漢🙂" * 50, "x\r\n\r\ny", "<p>a</p>", "z" * 200_000]
-    rows = [(i, f"http://h/{i}" if i % 3 else None, h, "r") for i, h in enumerate(reversed(html))] + [(None, "u\r\nWARC-Type: x", "<p>a</p>", "r"), (2, "again", "z" * 10, "r"), (2, "again", "z" * 10, "r")]
+    rows = [(i, f"http://h/{i}" if i % 3 else None, h, "r") for i, h in enumerate(reversed(html))] + [(None, "u\r\nWARC-Type: x", "<p>a</p>", "r"), (50, "http://a\u0085WARC-Refers-To: <urn:page:9>", "only this", "r"), (51, "http://a\u2028b\u2029c", "and this", "r"), (2, "again", "z" * 10, "r"), (2, "again", "z" * 10, "r")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string")
     for least in (0, 8, 1 << 30):
         path = archive(spark, pages, tmp_path / str(least), min_bytes=least)
@@ -384,6 +386,7 @@ def test_warc(spark, tmp_path):
             want.append((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if again else "response", first if again else None))
         assert key((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == key(want)
         assert all(r.digest_ok for r in got)
+        assert {r.url for r in got if r.page_id in (50, 51)} == {"http://a\u0085WARC-Refers-To: <urn:page:9>", "http://a\u2028b\u2029c"}
         stored = spark.read.parquet(f"{path}/payloads")
         assert stored.count() == len({(r[2] or "") for r in rows})
     record = next(r for r in warc.read_archive(spark, path).collect() if b"<urn:page:0>" in bytes(r.record))
@@ -419,23 +422,95 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 def test_html():
     tree = html_text.trained()
     assert html_text.main_text(PAGE, tree) == "The <title>\nFirst paragraph & more of it here.\nShort.\nUnclosed bold\nNext one"
-    table = np.array(html_text.LABELLED, float)
+    table = html_text.labelled()
     assert (html_text.decide(tree, table[:, :-1]) == table[:, -1]).mean() > 0.95
     long = "word " * 40
-    plain = f"<body><div><a>One</a> <a>Two</a></div><p>{long}</p><p>Tiny.</p><p>{long}</p><div><a>Back</a></div>"
-    assert html_text.main_text(plain, tree).split("\n")[1:-1] == ["Tiny."] or html_text.main_text(plain, tree) == f"{long.strip()}\nTiny.\n{long.strip()}"
-    for odd in (None, "", "<", "<p", "<<<>>>", "<article>" * 3000, "<article><p " + 'a="' * 2000, "&#0;&bogus;&#x110000;", "<script>never closed"):
-        assert isinstance(html_text.main_text(odd, tree), str)
+    assert html_text.main_text(f"<div>{long}</div><div><a href=x>{long}</a></div><div>{long}</div>", tree) == "\n".join([long.strip()] * 2)
+    assert html_text.main_text(None, tree) == html_text.main_text("", tree) == html_text.main_text("<script>x</script>", tree) == ""
+
+
+def test_html_loses_nothing_behind_missing_end_tags():
+    tree = html_text.trained()
+    a, b = "first words of this article " * 6, "last words of this article " * 6
+    for name in ("noscript", "object", "math", "svg", "select", "iframe", "template"):
+        got = html_text.main_text(f"<article><p>{a}</p><{name}><p>{b}</p></article>", tree)
+        assert got == f"{a.strip()}\n{b.strip()}"
+        assert html_text.main_text(f"<article><p>{a}</p><{name}>gone</{name}><p>{b}</p></article>", tree) == got
+    assert html_text.main_text(f"<article><p>{a}</p><datalist id=x><option value=1>one<option>two</datalist><p>{b}</p></article>", tree) == f"{a.strip()}\n{b.strip()}"
+    assert html_text.main_text(f"<article><p>{a}</p><option>one</option><p>{b}</p></article>", tree) == f"{a.strip()}\n{b.strip()}"
+
+
+def test_html_marks_are_weighed():
+    """Names of furniture on the article, a small marked block beside the article, links in the article, comments that are articles."""
+    tree = html_text.trained()
+    p = ["some words that make a paragraph of the article " * k for k in (4, 7, 3, 9)]
+    body = "".join(f"<p>{x}</p>" for x in p)
+    want = "\n".join(x.strip() for x in p)
+    assert html_text.main_text(f'<nav><a href=x>Home</a></nav><article class="post related-post social">{body}</article><footer>us</footer>', tree) == want
+    assert html_text.main_text(f'<nav><a href=x>Home</a></nav><div class="card-body">Seven words that are in a card</div><div><h1>Title of it</h1>{body}</div><footer>us</footer>', tree).endswith(want)
+    links = "".join(f"<li><a href=x>Link number {k}</a></li>" for k in range(6))
+    assert html_text.main_text(f"<nav><a href=x>Home</a></nav><article>{body}<ul>{links}</ul></article>", tree) == want
+    said = '<article class="comment"><p>I like this a lot and say so at some length here.</p></article>' * 3
+    assert html_text.main_text(f"<article>{body}</article><div>{said}</div><footer>us</footer>", tree) == want
+
+
+class Reader(HTMLParser):
+    """The plain reader of the given pages: blocks inside the article element."""
+
+    INLINE = ("b", "i", "a", "em", "strong", "span", "br")
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.done, self.now = 0, [], []
+
+    def end(self):
+        if text := " ".join("".join(self.now).split()):
+            self.done.append(text)
+        self.now = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article":
+            self.inside, self.now = self.inside + 1, []
+        elif tag == "br":
+            self.now.append(" ")
+        elif tag not in self.INLINE and self.inside:
+            self.end()
+
+    def handle_endtag(self, tag):
+        if tag not in self.INLINE and self.inside:
+            self.end()
+        self.inside -= tag == "article"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.now.append(data)
+
+
+def test_html_against_a_plain_reader(spark):
+    """Every given page as a plain reader gives it; and without class names and telling elements, by words and links alone."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in html_text.extract_main_text(pages).collect()}
+    tree = html_text.trained()
+    right = n = 0
+    for r in pages.collect():
+        reader = Reader()
+        reader.feed(r.html or "")
+        assert got[r.page_id].text == "\n".join(reader.done) and got[r.page_id].n_chars == len(got[r.page_id].text)
+        bare = re.sub(r"<(/?)(?:article|nav|footer)", r"<\1div", re.sub(r'\sclass="[^"]*"', "", r.html or ""))
+        found = html_text.blocks(bare)
+        assert all(b.place == 0 for b in found)
+        keep = html_text.decide(tree, html_text.block_features(found))
+        right += sum((b.text in reader.done) == bool(k) for b, k in zip(found, keep))
+        n += len(found)
+    assert n > 4000 and right / n > 0.95
 
 
 def test_html_frame(spark):
-    rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y"), (3, "w", "<article><p>" + "long text " * 50_000, "z")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
-    got = html_text.extract_main_text(pages)
-    assert got.columns == ["page_id", "url", "text", "n_chars"]
-    by = {r.page_id: r for r in got.collect()}
-    assert by[None].text == "" and by[2].n_chars == 0 and by[3].n_chars == 499_999 and got.count() == 5
-    assert html_text.extract_main_text(pages.limit(0)).count() == 0
+    df = spark.createDataFrame([(1, "u", PAGE, 5, "h"), (None, None, None, 6, "t"), (2, "v", "<p>" + "long text " * 200_000, 7, "x"), (2, "v", "<p>" + "long text " * 200_000, 7, "x")], "page_id long, url string, HTML string, n_chars int, _html string")
+    rows = html_text.extract_main_text(df).collect()
+    assert len(rows) == 4 and all(r.n_chars == len(r.text) for r in rows) and rows[0]._html == "h"
+    assert {r.page_id: r.n_chars for r in rows} == {1: len(html_text.main_text(PAGE, html_text.trained())), None: 0, 2: 1_999_999}
+    assert html_text.extract_main_text(df.limit(0)).count() == 0
 
 
 # 1
@@ -459,13 +534,49 @@ def test_chroma(spark):
     assert got[1].match == 0 and got[1].bit_error_rate == 0 and got[1].class_id == 0 and got[None].match == 0
     assert got[2].match == 0 and got[2].match_offset == 0 and got[2].bit_error_rate < 0.2
     assert got[3].match == 0 and got[3].match_offset == 20 and got[3].bit_error_rate < 0.05
-    assert got[5].n_items == got[6].n_items == got[7].n_items == 0 and got[5].match is None and got[8].n_items > 0
+    assert got[5].n_items == got[6].n_items == 0 and got[7].n_items == chroma.WIDTH and got[5].match is None and got[8].n_items > 0
     assert got[4].match is None or got[4].bit_error_rate > 0.1
     a, b = np.array([1, 2, 3], np.uint32), np.array([2, 7], np.uint32)
     assert chroma.bit_errors(a, b, 1) == (2, 1) and chroma.bit_errors(a, b, 5) == (0, 0) and chroma.bit_errors(b, a, -1) == (2, 1)
     assert chroma.align(df.limit(0), "id", "pcm", lambda i: i % 100 == 0).count() == 0
 
 
+def test_chroma_short(spark):
+    """Equal short recordings share a class, and a near copy of a short query is found."""
+    rng = np.random.default_rng(8)
+    base = tone(rng, 1200)
+    near = (np.frombuffer(base, np.uint8).astype(int) + rng.integers(-2, 3, len(base))).clip(0, 255).astype(np.uint8).tobytes()
+    rows = [(100, base), (1, base), (2, near), (3, b"one"), (4, b"one"), (5, b"x"), (200, b"one"), (6, None)]
+    got = {r.id: r for r in chroma.align(spark.createDataFrame(rows, "id long, pcm binary"), "id", "pcm", lambda i: i % 100 == 0).collect()}
+    assert got[1].class_id == got[100].class_id == 1 and got[1].match == 100 and got[2].match == 100 and got[2].bit_error_rate < 0.2
+    assert got[3].class_id == got[4].class_id == got[200].class_id == 3 and got[4].match == 200 and got[6].match is None
+
+
+def test_chroma_recall(spark, sf):
+    """All recordings against all queries at all offsets: of the alignments over half of the shorter one with few errors, at least 9 of 10 are found."""
+    rows = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 120 and length(text) < 4000").collect()]
+    rng = np.random.default_rng(3)
+    rows += [(1000 + i, noise(rng, x, 1)[int(rng.integers(0, 200)) :]) for i, x in rows[:40]] + [(2000 + 100 * k, x) for k, (_, x) in enumerate(rows[:12])]
+    prints = {i: chroma.fingerprint(x) for i, x in rows}
+    clear, queries = set(), [i for i in prints if i % 100 == 0]
+    for q in queries:
+        for i in prints:
+            if prints[i].tobytes() != prints[q].tobytes():
+                rate = min((e / (32 * n) for at in range(-len(prints[i]), len(prints[q])) for n, e in [chroma.bit_errors(prints[q], prints[i], at)] if n >= max(chroma.WIDTH, min(len(prints[q]), len(prints[i])) // 2)), default=1)
+                if rate <= 0.15:
+                    clear.add((i, q))
+    got = chroma.align(spark.createDataFrame(rows, "id long, pcm binary"), "id", "pcm", lambda i: i % 100 == 0).collect()
+    of = {r.id: r.class_id for r in got}
+    best = {r.id: {m.match for m in r.matches or []} for r in got}
+    found = {(i, q) for i, q in clear if {of[m] for m in best[of[i]]} & {of[q]}}
+    print(len(clear), len(found), sorted(clear - found))
+    assert len(clear) >= 10 and len(found) >= 0.9 * len(clear)
+
+
+def noise(rng, pcm, size):
+    return (np.frombuffer(pcm, np.uint8).astype(int) + rng.integers(-size, size + 1, len(pcm))).clip(0, 255).astype(np.uint8).tobytes()
+
+
 def test_box_sums():
     c = chroma.chroma(chroma.signal(tone(np.random.default_rng(1), 8000)), chroma.pitch_matrix(chroma.RATE, chroma.FRAME), chroma.FRAME, chroma.HOP)
     x = chroma.items(c)
@@ -490,7 +601,7 @@ def test_quotes(spark):
     ]
     df = spark.createDataFrame([(*r, "user", "h") for r in rows], "conv_id long, turn long, text string, role string, hash string")
     got = {}
-    for r in quotes.reply_ordered(df).collect():
+    for r in quotes.link_quotes(df).collect():
         got.setdefault((r.conv_id, r.turn), r)
     show = lambda *k: (got[k].n_quotes, got[k].n_linked, got[k].reply_to, got[k].thread, got[k].depth)
     assert show(1, 0) == (0, 0, None, 0, 0) and show(1, 1)[:4] == (1, 1, 0, 0) and show(1, 2) == (2, 2, 1, 0, 2)
@@ -504,3 +615,70 @@ def test_long_reply_chain(spark):
     rows = [(1, 0, "text 0")] + [(1, i, f"> text {i - 1}\ntext {i}") for i in range(1, 40)]
     got = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
     assert all(r.thread == 0 and r.depth == r.turn for r in got)
+
+
+def brute_links(rows):
+    """reply_to of each message by looking through all earlier ones."""
+    said = {}
+    for c, t, x in rows:
+        said.setdefault((c, t), set()).update(quotes._own_units(quotes.parse(x)[0]))
+    out = {}
+    for c, t, x in rows:
+        earlier = [u for (d, u) in said if d == c and u < t]
+        for level, p in quotes.parse(x)[1]:
+            lines = {h for y in p.split("\n") if (h := quotes._hash(y))}
+            last = lambda h: max((u for u in earlier if h in said[c, u]), default=None)
+            at = last(quotes._hash(p))
+            if at is None:
+                votes = Counter(u for h in lines if (u := last(h)) is not None)
+                at = max(((n, u) for u, n in votes.items()), default=(0, None))
+                at = at[1] if at[0] >= quotes.SHARE * len(lines) else None
+            if at is not None:
+                out.setdefault((c, t), []).append((level, at))
+    return {k: (len(v), max((o for level, o in v if level == 1), default=max(o for _, o in v))) for k, v in out.items()}
+
+
+def test_quotes_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "RUN", 4)
+    rng = np.random.default_rng(9)
+    lines = [f"line number {k} of some text" for k in range(25)]
+    rows = []
+    for c in range(6):
+        for t in range(40):
+            own = "\n".join(rng.choice(lines, rng.integers(1, 4)))
+            quoted = "\n".join("> " + "> " * int(rng.integers(0, 2)) + x for x in rng.choice(lines, rng.integers(1, 4)))
+            rows.append((c, t, f"{quoted}\n\n{own}" if rng.random() < 0.7 else own))
+    odd = "conv_id long, turn long, text string, _c int, _t int, part int, conv string, `a b` int"
+    got = quotes.link_quotes(spark.createDataFrame([(*r, 1, 2, 3, "x", 4) for r in rows], odd)).collect()
+    want = brute_links(rows)
+    assert {(r.conv_id, r.turn): (r.n_linked, r.reply_to) for r in got if r.n_linked} == want and len(want) > 80
+    for c in range(6):
+        order = sorted((r for r in got if r.conv_id == c), key=lambda r: r.position)
+        assert [r.position for r in order] == list(range(40)) and [(r.thread, r.turn) for r in order] == sorted((r.thread, r.turn) for r in order)
+        up = {r.turn: r.reply_to for r in order}
+        for r in order:
+            t, steps = r.turn, 0
+            while up[t] is not None:
+                t, steps = up[t], steps + 1
+            assert (r.thread, r.depth) == (t, steps)
+
+
+def test_quotes_false_friends(spark):
+    """One common line doesn't link a passage, and a repeat of an old turn isn't taken for the turn quoted."""
+    rows = [(1, 0, "Thanks"), (1, 1, "Hello there"), (1, 2, "> Completely different text nobody said.\n> And more of it.\n> Thanks\nyes"), (1, 3, "Hello there"), (1, 4, "> Hello there\nhi")]
+    got = {r.turn: r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()}
+    assert got[2].n_quotes == 1 and got[2].n_linked == 0 and got[2].reply_to is None and got[4].reply_to == 3
+
+
+def test_quoting_replies(spark, sf):
+    """Every reply made by the rule is linked with the turn it answers, and its own text comes back."""
+    table = spark.read.parquet(f"{sf}/conversations.parquet")
+    said = {(r.conv_id, r.turn): r.text for r in table.collect()}
+    got = quotes.link_quotes(quotes.quoting_replies(table)).collect()
+    assert len(got) == len(said) and sum(r.n_quotes > 0 for r in got) > len(said) / 3
+    for r in got:
+        up = r.turn - (2 if r.turn % 3 == 0 else 1)
+        assert r.text.strip("\n") == said[r.conv_id, r.turn].strip("\n")
+        if (r.conv_id, up) in said:
+            assert r.n_linked == r.n_quotes > 0 and (r.reply_to == up or said[r.conv_id, r.reply_to] == said[r.conv_id, up])
+    assert quotes.quoting_replies(table.limit(0)).count() == 0
