@@ -1,4 +1,4 @@
-"""A modified Kneser-Ney model of code points, of order 6, for each language.
+"""A modified Kneser-Ney model of code points, of order 5, for each language.
 
 Symbols are code points as they are; a run of ASCII white space is one space, and
 space stands before a text.  Grams run across words, so they hold the end of a word
@@ -10,9 +10,9 @@ Texts are dealt into two folds by the least hash of their grams, so equal texts
 share one and near copies mostly do, and a text is scored by the counts of the
 other fold: a text that nobody else repeats doesn't vouch for itself.
 
-An entry of the model is a gram of up to 6 symbols that both folds have, with two
+An entry of the model is a gram of up to 5 symbols that both folds have, with two
 numbers a fold.  The log probability of a symbol is a sum over the grams that end
-there, from none to six symbols: each adds its term, what it gives over the lower
+there, from none to five symbols: each adds its term, what it gives over the lower
 order, and each context its weight, what it leaves to the lower order.  So entries
 are looked up in any shards in any order.  They are stored by 64-bit hash in sorted
 arrays, one for each of many ranges of the hash.
@@ -32,7 +32,7 @@ from xxhash import xxh3_64_intdigest
 from .arrow_text import MUL, SPACE, Texts, chunks, mix, trimmed
 from .store import discard, stage
 
-ORDER = 6
+ORDER = 5
 PAD = ORDER - 1
 HELD_GRAMS = 400_000  # distinct grams that a map task adds up before it sends them
 CHUNK = 1 << 20
@@ -86,7 +86,7 @@ def salt(lang: str) -> int:
 
 
 def _unique(sym: Symbols, salts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the distinct grams of order 6 and languages: their hashes, the first symbol each ends at, and of each symbol the gram that ends there."""
+    """Of the distinct grams of the highest order and languages: their hashes, the first symbol each ends at, and of each symbol the gram that ends there."""
     h = mix(gram_hash(sym.codes, sym.place, ORDER) + np.repeat(salts, np.diff(sym.first)))
     return np.unique(h, return_index=True, return_inverse=True)
 
@@ -101,7 +101,7 @@ def folds(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """Rows (lang, g, a, b) of (lang, text): how often each gram of 6 symbols ends at a symbol in either fold, over all documents."""
+    """Rows (lang, g, a, b) of (lang, text): how often each gram of ORDER symbols ends at a symbol in either fold, over all documents."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +162,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def entries(docs: DataFrame) -> DataFrame:
-    """Rows (lang, g, ta, tb, wa, wb) of (lang, text): terms and weights of grams of up to 6 symbols by the counts of either fold.
+    """Rows (lang, g, ta, tb, wa, wb) of (lang, text): terms and weights of grams of up to 5 symbols by the counts of either fold.
 
     The lower orders count, as Kneser and Ney do, how many symbols a gram follows.
     The gram of no symbols has the weight that the uniform distribution gets, times
