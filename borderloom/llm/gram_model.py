@@ -85,10 +85,32 @@ def salt(lang: str) -> int:
     return xxh3_64_intdigest(lang)
 
 
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, the first place of each, and of each place the number of its hash.
+
+    What np.unique gives, by one sort of plain integers: the top bits of a hash over
+    its place.  Hashes that share those bits and differ are sorted in full.
+    """
+    n = len(h)
+    if not n:
+        return h, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = np.uint64(max(1, (n - 1).bit_length()))
+    packed = (h >> bits << bits) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    at = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    new = np.ones(n, bool)
+    np.not_equal(packed[1:] >> bits, packed[:-1] >> bits, out=new[1:])
+    ordered = h[at]
+    if (new[1:] != (ordered[1:] != ordered[:-1])).any():
+        return np.unique(h, return_index=True, return_inverse=True)
+    number = np.empty(n, np.int64)
+    number[at] = np.cumsum(new) - 1
+    return ordered[new], at[new], number
+
+
 def _unique(sym: Symbols, salts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the distinct grams of the highest order and languages: their hashes, the first symbol each ends at, and of each symbol the gram that ends there."""
-    h = mix(gram_hash(sym.codes, sym.place, ORDER) + np.repeat(salts, np.diff(sym.first)))
-    return np.unique(h, return_index=True, return_inverse=True)
+    return distinct(mix(gram_hash(sym.codes, sym.place, ORDER) + np.repeat(salts, np.diff(sym.first))))
 
 
 def folds(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -111,7 +133,7 @@ def counts(docs: DataFrame) -> DataFrame:
 
         def merged() -> list[tuple]:
             key, lang, a, b, grams = (np.concatenate([p[k] for p in held]) for k in range(5))
-            _, index, at = np.unique(key, return_index=True, return_inverse=True)
+            _, index, at = distinct(key)
             return [(key[index], lang[index], np.bincount(at, a, len(index)), np.bincount(at, b, len(index)), grams[index])]
 
         def flush(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
