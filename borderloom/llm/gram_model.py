@@ -81,6 +81,15 @@ def gram_hash(codes: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def gram_hashes(codes: np.ndarray, place: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """gram_hash of 0 to ``most`` symbols."""
+    h = np.zeros(len(place), np.uint64)
+    for size in range(most + 1):
+        if size:
+            h = h + (codes[place - size + 1] + np.uint64(1)) * _POWERS[size - 1]
+        yield h + np.uint64((size * int(MUL)) % (1 << 64))
+
+
 def salt(lang: str) -> int:
     return xxh3_64_intdigest(lang)
 
@@ -309,8 +318,8 @@ class Shard:
         fold = folds(keys[at], sym.first)
         own, end = np.repeat(salts, n)[index], sym.place[index]
         per = [np.zeros(len(keys)) for _ in range(4)]
-        for size in range(ORDER + 1):
-            self._add(entry_key(gram_hash(sym.codes, end, size), own), per)
+        for h in gram_hashes(sym.codes, end, ORDER):
+            self._add(entry_key(h, own), per)
         # the space before a text is a context and no symbol
         spaces = np.full(PAD, 32, np.uint64)
         names, which = np.unique(salts, return_inverse=True)
