@@ -76,3 +76,18 @@ def test_bands_hold_against_a_hot_source(spark):
     df = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
     got = {r.doc_id: r.kept for r in quality_rules.quality_rules(df).collect()}
     assert sum(got[i] for i in range(200)) >= 196 and not any(got[i] for i in got if 1000 <= i)
+
+
+def test_distinct_is_unique():
+    rng = np.random.default_rng(3)
+    close = np.array([1 << 40, (1 << 40) + 1, 1 << 40, 7, 7, (1 << 40) + 1], np.uint64)  # differ below the bits that are sorted
+    for h in (close, *(gram_model.mix(rng.integers(0, max(2, n // 3), n).astype(np.uint64)) for n in (0, 1, 2, 1000, 50_000))):
+        for got, wanted in zip(gram_model.distinct(h), np.unique(h, return_index=True, return_inverse=True)):
+            assert got.tolist() == wanted.tolist()
+
+
+def test_gram_hashes_are_those_of_each_size():
+    codes = np.random.default_rng(4).integers(32, 5000, 300).astype(np.uint64)
+    place = np.arange(gram_model.ORDER, 300)
+    for size, h in enumerate(gram_model.gram_hashes(codes, place, gram_model.ORDER)):
+        assert (h == gram_model.gram_hash(codes, place, size)).all()
