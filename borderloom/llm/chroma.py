@@ -16,6 +16,7 @@ repeats one integer, has no landmark and is found through its class only.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ RATE, FRAME, HOP = 1378, 512, 64  # an eighth of 11025 Hz; 0.37 s frames
 LOW, HIGH = 28.0, 3520.0
 WIDTH = 16  # frames a filter may span
 FRAMES_AT_ONCE = 2048
+ROWS_AT_ONCE = 1 << 14  # chroma rows that are filtered in one pass
 #: kind, first pitch class, classes, frames of each filter, by a rule: all kinds at several heights and widths
 FILTERS = [(k % 6, (5 * k) % 8, 2 + k % 4 if k % 6 else 1 + k % 3, (4, 8, 12, 16)[k % 4]) for k in range(16)]
 CUTS = (-0.12, 0.0, 0.12)
@@ -38,7 +40,12 @@ MOST_ERRORS = 0.35
 BLOCK_BYTES = 4 << 20
 OFFSETS = 8  # of most votes, whose bit errors are counted
 MOST_HITS = 2_000_000  # landmark hits that are counted at once
+INTEGERS_AT_ONCE = 1 << 13  # that are compared in one pass: arrays of 64 kB stay in the cache
+RAMP = np.arange(2 * INTEGERS_AT_ONCE)
+MOST_LINKS = 500_000  # pairs of recordings and queries that a worker hands out at once (32 bytes a link)
+KEPT_BLOCKS = 4  # whose landmarks a worker keeps; those of others are sorted anew for each step
 MATCHES = "array<struct<match: bigint, match_offset: bigint, overlap: bigint, bit_error_rate: double>>"
+ALIGNED = f"id long, n_items long, class_id long, match long, match_offset long, overlap long, bit_error_rate double, matches {MATCHES}"
 
 
 def pitch_matrix(rate: int, frame: int) -> np.ndarray:
@@ -73,15 +80,17 @@ def chroma(x: np.ndarray, matrix: np.ndarray, frame: int, hop: int) -> np.ndarra
     return np.where(norm > 1e-9, smooth / np.maximum(norm, 1e-9), 0)
 
 
-def items(c: np.ndarray) -> np.ndarray:
-    """Packed integers of chroma rows, one for each position of a window of WIDTH frames."""
-    n = len(c) - WIDTH + 1
-    if n <= 0:
-        return np.zeros(0, np.uint32)
-    total = np.zeros((len(c) + 1, 13))
-    total[1:, 1:] = c.cumsum(0).cumsum(1)
-    t = np.arange(n)
-    area = lambda a, b, y0, y1: total[t + b, y1] - total[t + a, y1] - total[t + b, y0] + total[t + a, y0]  # noqa: E731  frames a to b, classes y0 to y1
+def box_totals(c: np.ndarray) -> np.ndarray:
+    """Sums of chroma rows over time and pitch class from the first row on: 13 rows, a column more than there are frames."""
+    total = np.zeros((13, len(c) + 1))
+    total[1:, 1:] = c.cumsum(0).cumsum(1).T
+    return total
+
+
+def packed(total: np.ndarray) -> np.ndarray:
+    """An integer for each column of box totals that WIDTH others follow."""
+    n = total.shape[1] - WIDTH
+    area = lambda a, b, y0, y1: total[y1, b : b + n] - total[y1, a : a + n] - total[y0, b : b + n] + total[y0, a : a + n]  # noqa: E731  frames a to b, classes y0 to y1
     out = np.zeros(n, np.uint32)
     for kind, y, h, w in FILTERS:
         y1, hh, hw, third = y + h, y + max(1, h // 2), w // 2, w // 3
@@ -109,6 +118,21 @@ def items(c: np.ndarray) -> np.ndarray:
     return out
 
 
+def items(c: np.ndarray) -> np.ndarray:
+    """Packed integers of chroma rows, one for each position of a window of WIDTH frames."""
+    return packed(box_totals(c)) if len(c) >= WIDTH else np.zeros(0, np.uint32)
+
+
+def items_of(chromas: list[np.ndarray]) -> list[np.ndarray]:
+    """:func:`items` of each, in one pass: their totals stand one after another, and windows over two of them are left out."""
+    width = np.array([len(c) + 1 for c in chromas])
+    if not len(width) or width.sum() <= WIDTH:
+        return [items(c) for c in chromas]
+    every = packed(np.concatenate([box_totals(c) for c in chromas], axis=1))
+    start = np.cumsum(width) - width
+    return [every[a : a + max(0, n - WIDTH)] for a, n in zip(start.tolist(), width.tolist())]
+
+
 def filled(x: np.ndarray, frame: int, hop: int) -> np.ndarray:
     """A signal, played again and again until it gives WIDTH integers if it is too short for that; nothing stays nothing."""
     least = frame + (2 * WIDTH - 2) * hop
@@ -135,69 +159,151 @@ def fingerprints(recordings: DataFrame, id_col: str, data_col: str, kind: str =
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = pitch_matrix(rate, frame)
+
+        def rows(part: pa.RecordBatch) -> pa.RecordBatch:
+            found, held, n = [], [], 0
+            for x in part.column(1):
+                held.append(chroma(filled(signal(x.as_py() or b"", kind), frame, hop), matrix, frame, hop))
+                n += len(held[-1])
+                if n >= ROWS_AT_ONCE:
+                    found += [y.astype("<u4").tobytes() for y in items_of(held)]
+                    held, n = [], 0
+            found += [y.astype("<u4").tobytes() for y in items_of(held)]
+            return pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(x) // 4 for x in found], pa.int64()), pa.array(found, pa.binary()), pa.array([xxh3_128_digest(x) if x else None for x in found], pa.binary())],
+                ["id", "n_items", "items", "class"],
+            )
+
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                found = [fingerprint(x or b"", kind, rate, frame, hop, matrix).astype("<u4").tobytes() for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // 4 for x in found], pa.int64()), pa.array(found, pa.binary()), pa.array([xxh3_128_digest(x) if x else None for x in found], pa.binary())],
-                    ["id", "n_items", "items", "class"],
-                )
+                yield rows(batch.slice(at, 512))
 
     return recordings.select(F.col(id_col).cast("long").alias("id"), F.col(data_col).cast("binary").alias("data")).mapInArrow(run, "id long, n_items long, items binary, class binary")
 
 
+class Links(NamedTuple):
+    """Aligned queries of a recording, best first."""
+
+    rate: np.ndarray
+    overlap: np.ndarray
+    query: np.ndarray
+    offset: np.ndarray
+
+
+def in_order(parts: list[Links]) -> Links:
+    """Links of several blocks as one, by bit error rate, then longer overlaps, then smaller ids."""
+    x = parts[0] if len(parts) == 1 else Links(*map(np.concatenate, zip(*parts)))
+    order = np.lexsort((x.query, -x.overlap, x.rate))
+    return Links(*(y[order] for y in x))
+
+
+def runs_of(n: np.ndarray, most: int) -> list[slice]:
+    """Slices of consecutive counts of about ``most`` together."""
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(n) // most)) + 1).tolist(), len(n)]
+    return [slice(a, b) for a, b in zip(cuts, cuts[1:])]
+
+
 class QueryBlock:
-    """Some query classes, with their landmarks in a sorted array (16 bytes an integer and landmark, about 20 times the fingerprints)."""
+    """Some query classes, with their landmarks by key (16 bytes an integer and landmark, about 20 times the fingerprints)."""
 
     def __init__(self, names: list[int], prints: list[bytes]):
-        self.names = names
-        self.prints = [np.frombuffer(x, "<u4") for x in prints]
-        self.size = np.array([len(x) for x in self.prints], np.int64)
-        marks = [landmarks(x) for x in self.prints]
+        self.names = np.array(names, np.int64)
+        found = [np.frombuffer(x, "<u4") for x in prints]
+        self.size = np.array([len(x) for x in found], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        marks = [landmarks(x) for x in found]
         key = np.concatenate([k for k, _ in marks]) if marks else np.zeros(0, np.int64)
         order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.owner = np.repeat(np.arange(len(marks)), [len(k) for k, _ in marks])[order]
-        self.place = (np.concatenate([p for _, p in marks]) if marks else key)[order]
-
-    def aligned(self, x: np.ndarray, most_errors: float, least_overlap: int, own: int | None = None) -> list[tuple[float, int, int, int]]:
-        """(bit error rate, minus overlap, query, offset) of every aligned query other than ``own``."""
+        self.key, first = np.unique(key[order], return_index=True)
+        self.first = np.append(first, len(key))
+        self.owner = np.repeat(np.arange(len(marks), dtype=np.int32), [len(k) for k, _ in marks])[order]
+        self.place = (np.concatenate([p for _, p in marks]) if marks else key)[order].astype(np.int32)
+
+    def votes(self, x: np.ndarray, least_overlap: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Codes of queries and offsets (query times span, plus offset above the smallest), their votes, and the span.
+
+        Votes for offsets with too little overlap go to the nearest one with enough.
+        """
+        few, many = least_overlap - len(x), self.size - least_overlap
+        span = max(1, int(many.max(initial=few)) - few + 1)
         key, place = landmarks(x)
-        lo, hi = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
-        n = hi - lo
-        total = np.cumsum(n)
-        if not len(n) or not total[-1]:
-            return []
+        at = np.searchsorted(self.key, key)
+        hit = at < len(self.key)
+        hit[hit] = self.key[at[hit]] == key[hit]
+        at, place = at[hit], place[hit]
+        lo = self.first[at]
+        n = self.first[at + 1] - lo
+        codes, votes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         # a sound that returns again and again meets itself very often: count such hits in runs
-        codes, votes = [], []
-        for run in np.split(np.arange(len(n)), np.flatnonzero(np.diff(total // MOST_HITS)) + 1):
+        for run in runs_of(n, MOST_HITS) if len(n) else []:
             m = n[run]
-            hit = np.repeat(lo[run] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
-            code, count = np.unique(self.owner[hit].astype(np.int64) << 32 | (self.place[hit] - np.repeat(place[run], m) + (1 << 31)), return_counts=True)
-            codes.append(code)
-            votes.append(count)
+            mark = np.arange(m.sum()) + np.repeat(lo[run] - (np.cumsum(m) - m), m)
+            owner = self.owner[mark]
+            offset = self.place[mark] - np.repeat(place[run], m)
+            last = many[owner]
+            code = np.clip(offset, few, last) + owner.astype(np.int64) * span - few
+            code = np.sort(code if (many >= few).all() else code[last >= few])
+            ends = np.flatnonzero(np.append(code[1:] != code[:-1], True)[: len(code)])
+            codes.append(code[ends])
+            votes.append(np.diff(ends, prepend=-1))
+        if len(codes) == 2:
+            return codes[1], votes[1], span
         code, back = np.unique(np.concatenate(codes), return_inverse=True)
-        votes = np.bincount(back, np.concatenate(votes))
-        pairs = np.stack([code >> 32, (code & 0xFFFFFFFF) - (1 << 31)], 1)
-        # votes for offsets with too little overlap go to the nearest one with enough
-        few, many = least_overlap - len(x), self.size[pairs[:, 0]] - least_overlap
-        fits = few <= many
-        moved = np.column_stack([pairs[fits, 0], np.clip(pairs[fits, 1], few, many[fits])])
-        pairs, back = np.unique(moved, axis=0, return_inverse=True)
-        votes = np.bincount(back.ravel(), votes[fits])
-        order = np.lexsort((pairs[:, 1], -votes, pairs[:, 0]))
-        at = pairs[order, 0]
-        rank = np.arange(len(at)) - np.searchsorted(at, at)
-        found: dict[int, tuple] = {}
-        for q, at in pairs[order[rank < OFFSETS]].tolist():
-            if self.names[q] == own:
-                continue
-            overlap, errors = bit_errors(self.prints[q], x, at)
-            if overlap >= least_overlap and errors <= most_errors * 32 * overlap:
-                new = (errors / (32.0 * overlap), -overlap, self.names[q], at)
-                found[q] = min(found.get(q, new), new)
-        return list(found.values())
+        return code, np.bincount(back, np.concatenate(votes), len(code)).astype(np.int64), span
+
+    def offsets(self, x: np.ndarray, least_overlap: int) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and offsets, the OFFSETS of most votes of each query (of equal votes the smaller offsets), in order."""
+        code, votes, span = self.votes(x, least_overlap)
+        owner = code // span
+        if len(code) > OFFSETS and (owner[OFFSETS:] == owner[:-OFFSETS]).any():
+            most = int(votes.max())
+            if (len(self.size) + 1) * (most + 1) * span < 1 << 62:
+                ranked = np.sort((owner * (most + 1) + (most - votes)) * span + (code - owner * span))
+                code = ranked // ((most + 1) * span) * span + ranked % span
+            else:
+                code = code[np.lexsort((code, -votes, owner))]
+            # owner has as many of each query as the ranked codes
+            rank = np.arange(len(code)) - np.searchsorted(owner, owner)
+            code = np.sort(code[rank < OFFSETS])
+            owner = code // span
+        return owner, code - owner * span + (least_overlap - len(x))
+
+    def errors(self, x: np.ndarray, place: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Bits that differ between ``n`` integers of the block from ``place`` on and of x from ``at`` on."""
+        out = np.zeros(len(n), np.int64)
+        for run in runs_of(n, INTEGERS_AT_ONCE) if len(n) else []:
+            m = n[run]
+            start = np.cumsum(m) - m
+            count = int(start[-1] + m[-1])
+            ramp = RAMP[:count] if count <= len(RAMP) else np.arange(count)
+            differ = self.flat.take(np.repeat(place[run] - start, m) + ramp, mode="clip")
+            differ ^= x.take(np.repeat(at[run] - start, m) + ramp, mode="clip")
+            out[run] = np.add.reduceat(np.bitwise_count(differ), start, dtype=np.int64)
+        return out
+
+    def aligned(self, x: np.ndarray, most_errors: float, least_overlap: int, own: int | None = None) -> Links:
+        """Every aligned query other than ``own`` at its best offset, by queries."""
+        owner, offset = self.offsets(x, least_overlap)
+        i, j = np.maximum(offset, 0), np.maximum(-offset, 0)
+        n = np.minimum(self.size[owner] - i, len(x) - j)
+        keep = n >= max(1, least_overlap)
+        if own is not None:
+            keep &= self.names[owner] != own
+        if not keep.all():
+            owner, offset, i, j, n = owner[keep], offset[keep], i[keep], j[keep], n[keep]
+        errors = self.errors(x, self.start[owner] + i, j, n)
+        near = np.flatnonzero(errors <= most_errors * 32 * n)
+        owner, offset, n, rate = owner[near], offset[near], n[near], errors[near] / (32.0 * n[near])
+        # the smallest rate of a query, of equal ones the longest overlap, then the smallest offset
+        for best, k in ((np.minimum, 0), (np.maximum, 1)):
+            if len(owner):
+                worth = (rate, n)[k]
+                first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+                keep = worth == np.repeat(best.reduceat(worth, first), np.diff(first, append=len(owner)))
+                owner, offset, n, rate = owner[keep], offset[keep], n[keep], rate[keep]
+        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)])
+        return Links(rate[first], n[first], self.names[owner[first]], offset[first])
 
 
 def landmarks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -231,9 +337,10 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
     within the limits, at the best of the OFFSETS offsets of most votes, best first; classes with a query
     have theirs as well.
 
-    Query classes go to the executors in blocks of about ``block_bytes`` of fingerprints, and
-    every class is held against every block; a class is held once, however many
-    recordings it has, and gives one row for each query class it is aligned with.
+    Query classes go to the executors in blocks of about ``block_bytes`` of fingerprints.  Recordings
+    are gathered by class, and a class is held against every block once for all its recordings that a task has in a row;
+    its links leave the worker as one array, at most MOST_LINKS of them or those of one recording at a time, and are
+    never shuffled.
 
     A short recording is played again until it has WIDTH integers (see
     :func:`fingerprint`).  Null recordings and those without a sample have no
@@ -244,37 +351,55 @@ def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_erro
     spark = recordings.sparkSession
     prints = stage(fingerprints(recordings, id_col, data_col, **options), "fingerprints")
     known = prints.where("class is not null")
-    classes = stage(known.groupBy("class").agg(F.min("id").alias("class_id"), F.min(F.when(is_query(F.col("id")), F.col("id"))).alias("query"), F.first("items").alias("items")), "classes")
-    asked = classes.where("query is not null")
-    size = asked.agg(F.coalesce(F.sum(F.length("items") + 40), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
-    found = None
-    for b in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("class"), F.lit(blocks)) == b).select("query", "items").orderBy("query").toArrow()
-        shared = spark.sparkContext.broadcast((rows.column(0).to_pylist(), rows.column(1).to_pylist()))
-
-        @trimmed
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block = None
-            for batch in batches:
-                block = block or QueryBlock(*shared.value)
-                kept = [(c, *r) for c, x, own in zip(*(batch.column(k).to_pylist() for k in range(3))) for r in block.aligned(np.frombuffer(x, "<u4"), most_errors, least_overlap, own)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate((pa.binary(), pa.float64(), pa.int64(), pa.int64(), pa.int64()))], ["class", "rate", "short", "query", "offset"])
-
-        part = classes.select("class", "items", "query").mapInArrow(run, "class binary, rate double, short long, query long, offset long")
-        found = part if found is None else found.union(part)
-    one = F.struct("rate", "short", "query", "offset")
-    top = found.groupBy("class").agg(F.min(one).alias("m"), F.sort_array(F.collect_list(one)).alias("all"))
-    named = classes.select("class", "class_id", "query").join(top, "class", "left").withColumnRenamed("class", "of")
-    own = F.col("query").isNotNull()
+    asked = stage(known.where(is_query(F.col("id"))).groupBy("class").agg(F.min("id").alias("query"), F.first("items").alias("items")), "queries")
+    # a table of its own, so that the join below is one of two exchanges, where a class with very many recordings is dealt to several tasks
+    classes = stage(known.groupBy("class").agg(F.min("id").alias("class_id"), F.min(F.when(is_query(F.col("id")), F.col("id"))).alias("query")), "classes")
+    size, n_queries = asked.agg(F.coalesce(F.sum(F.length("items") + 40), F.lit(0)), F.count("*")).first()
+    n_blocks = max(1, -(-size // block_bytes))
+    blocks = []
+    for b in range(n_blocks):
+        rows = asked.where(F.pmod(F.xxhash64("class"), F.lit(n_blocks)) == b).select("query", "items").orderBy("query").toArrow()
+        blocks.append(spark.sparkContext.broadcast((rows.column(0).to_pylist(), rows.column(1).to_pylist())))
+    step = max(1, MOST_LINKS // max(1, n_queries))
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built: dict[int, QueryBlock] = {}
+        before: dict[bytes, Links] = {}  # of the last class so far: more of its recordings may follow
+
+        def block(b: int) -> QueryBlock:
+            found = built.get(b) or QueryBlock(*blocks[b].value)
+            if len(built) < KEPT_BLOCKS:
+                built[b] = found
+            return found
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                ids, sizes, prints, names, firsts, own = (part.column(k).to_pylist() for k in range(6))
+                new = {c: (np.frombuffer(x, "<u4"), q, []) for c, x, q in zip(names, prints, own) if c not in before}
+                for b in range(n_blocks if new else 0):
+                    queries = block(b)
+                    for x, q, found in new.values():
+                        found.append(queries.aligned(x, most_errors, least_overlap, q))
+                links = before | {c: in_order(found) for c, (_, _, found) in new.items()}
+                before = {names[-1]: links[names[-1]]}
+                yield _rows(ids, sizes, firsts, own, [links[c] for c in names])
+
+    found = known.join(classes.hint("merge"), "class").select("id", "n_items", "items", "class", "class_id", "query").mapInArrow(run, ALIGNED)
     # recordings without integers have no class; they stay out of the join, where they would be one key
     without = prints.where("class is null").select("id", "n_items", F.col("id").alias("class_id"), *[F.lit(None).cast(t).alias(n) for n, t in (("match", "long"), ("match_offset", "long"), ("overlap", "long"), ("bit_error_rate", "double"), ("matches", MATCHES))])
-    found = known.join(named, known["class"] == named["of"]).select(
-        "id", "n_items", "class_id",
-        F.when(own, F.col("query")).otherwise(F.col("m.query")).alias("match"),
-        F.when(own, F.lit(0)).otherwise(F.col("m.offset")).cast("long").alias("match_offset"),
-        F.when(own, F.col("n_items")).otherwise(-F.col("m.short")).alias("overlap"),
-        F.when(own, F.lit(0.0)).otherwise(F.col("m.rate")).alias("bit_error_rate"),
-        F.when(F.col("id").eqNullSafe(F.col("class_id")), F.transform("all", lambda x: F.struct(x["query"].alias("match"), x["offset"].alias("match_offset"), (-x["short"]).alias("overlap"), x["rate"].alias("bit_error_rate")))).alias("matches"),
-    )
     return found.union(without)
+
+
+def _rows(ids: list, sizes: list, firsts: list, own: list, links: list[Links]) -> pa.RecordBatch:
+    """Result rows of recordings, with the smallest ids of their classes, the queries that name these and their links."""
+    best = [(q, 0, n, 0.0) if q is not None else (int(x.query[0]), int(x.offset[0]), int(x.overlap[0]), float(x.rate[0])) if len(x.rate) else (None,) * 4 for q, n, x in zip(own, sizes, links)]
+    told = [i == c and len(x.rate) > 0 for i, c, x in zip(ids, firsts, links)]
+    out = [x for x, t in zip(links, told) if t] or [Links(np.zeros(0), *[np.zeros(0, np.int64)] * 3)]
+    ends = np.cumsum([0, *(len(x.rate) if t else 0 for x, t in zip(links, told))]).astype(np.int32)
+    values = [np.concatenate(x) for x in zip(*((x.query, x.offset, x.overlap, x.rate) for x in out))]
+    matches = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(x) for x in values], ["match", "match_offset", "overlap", "bit_error_rate"]), mask=pa.array([not t for t in told], pa.bool_()))
+    columns = [ids, sizes, firsts, *zip(*best)]
+    types = [pa.int64()] * 6 + [pa.float64()]
+    return pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(columns, types)), matches], ["id", "n_items", "class_id", "match", "match_offset", "overlap", "bit_error_rate", "matches"])
