@@ -40,8 +40,11 @@ MOST_ERRORS = 0.35
 BLOCK_BYTES = 4 << 20
 OFFSETS = 8  # of most votes, whose bit errors are counted
 MOST_HITS = 2_000_000  # landmark hits that are counted at once
-INTEGERS_AT_ONCE = 1 << 13  # that are compared in one pass: arrays of 64 kB stay in the cache
-RAMP = np.arange(2 * INTEGERS_AT_ONCE)
+STEP = 16  # integers that are compared as one value: eight of 64 bits
+STEPS_AT_ONCE = 1 << 14  # in one pass
+HEADS = np.where(np.arange(STEP) < np.arange(STEP + 1)[:, None], 0xFFFFFFFF, 0).astype("<u4").view(f"V{4 * STEP}").ravel()  # by r: the first r of them
+PAIRS, ONES = np.uint64(0x00FF00FF00FF00FF), np.uint64(0x0001000100010001)
+MIDDLE = 1 << 31
 MOST_LINKS = 500_000  # pairs of recordings and queries that a worker hands out at once (32 bytes a link)
 KEPT_BLOCKS = 4  # whose landmarks a worker keeps; those of others are sorted anew for each step
 MATCHES = "array<struct<match: bigint, match_offset: bigint, overlap: bigint, bit_error_rate: double>>"
@@ -203,34 +206,38 @@ def runs_of(n: np.ndarray, most: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(cuts, cuts[1:])]
 
 
+def firsts(x: np.ndarray) -> np.ndarray:
+    """Places in sorted ``x`` where another value begins."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
+
+
+def windows(x: np.ndarray) -> np.ndarray:
+    """STEP integers from each place of ``x`` on as one value, zeros behind its end; a view of one padded copy."""
+    padded = np.concatenate([x, np.zeros(STEP, np.uint32)])
+    return np.ndarray(len(x), f"V{4 * STEP}", padded, strides=(4,))
+
+
 class QueryBlock:
-    """Some query classes, with their landmarks by key (16 bytes an integer and landmark, about 20 times the fingerprints)."""
+    """Some query classes, with their landmarks by key (8 bytes each and 16 a different key, up to four an integer: at most 24 times the fingerprints)."""
 
     def __init__(self, names: list[int], prints: list[bytes]):
         self.names = np.array(names, np.int64)
         found = [np.frombuffer(x, "<u4") for x in prints]
         self.size = np.array([len(x) for x in found], np.int64)
         self.start = np.cumsum(self.size) - self.size
-        self.flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        self.windows = windows(np.concatenate([*found, np.zeros(0, np.uint32)]))
         marks = [landmarks(x) for x in found]
         key = np.concatenate([k for k, _ in marks]) if marks else np.zeros(0, np.int64)
         order = np.argsort(key, kind="stable")
         self.key, first = np.unique(key[order], return_index=True)
         self.first = np.append(first, len(key))
-        self.owner = np.repeat(np.arange(len(marks), dtype=np.int32), [len(k) for k, _ in marks])[order]
-        self.place = (np.concatenate([p for _, p in marks]) if marks else key)[order].astype(np.int32)
-
-    def votes(self, x: np.ndarray, least_overlap: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """Codes of queries and offsets (query times span, plus offset above the smallest), their votes, and the span.
+        self.mark = np.concatenate([k << 32 | (p + MIDDLE) for k, (_, p) in enumerate(marks)] or [key])[order]  # query, place
 
-        Votes for offsets with too little overlap go to the nearest one with enough.
-        """
-        few, many = least_overlap - len(x), self.size - least_overlap
-        span = max(1, int(many.max(initial=few)) - few + 1)
+    def votes(self, x: np.ndarray, least_overlap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries, offsets and their votes, in order; votes for offsets with too little overlap go to the nearest one with enough."""
         key, place = landmarks(x)
         at = np.searchsorted(self.key, key)
-        hit = at < len(self.key)
-        hit[hit] = self.key[at[hit]] == key[hit]
+        hit = np.flatnonzero(self.key.take(at, mode="clip") == key) if len(self.key) else at[:0]
         at, place = at[hit], place[hit]
         lo = self.first[at]
         n = self.first[at + 1] - lo
@@ -238,48 +245,62 @@ class QueryBlock:
         # a sound that returns again and again meets itself very often: count such hits in runs
         for run in runs_of(n, MOST_HITS) if len(n) else []:
             m = n[run]
-            mark = np.arange(m.sum()) + np.repeat(lo[run] - (np.cumsum(m) - m), m)
-            owner = self.owner[mark]
-            offset = self.place[mark] - np.repeat(place[run], m)
-            last = many[owner]
-            code = np.clip(offset, few, last) + owner.astype(np.int64) * span - few
-            code = np.sort(code if (many >= few).all() else code[last >= few])
-            ends = np.flatnonzero(np.append(code[1:] != code[:-1], True)[: len(code)])
-            codes.append(code[ends])
-            votes.append(np.diff(ends, prepend=-1))
-        if len(codes) == 2:
-            return codes[1], votes[1], span
-        code, back = np.unique(np.concatenate(codes), return_inverse=True)
-        return code, np.bincount(back, np.concatenate(votes), len(code)).astype(np.int64), span
+            code = self.mark[np.repeat(lo[run] - (np.cumsum(m) - m), m) + np.arange(m.sum())]
+            code -= np.repeat(place[run], m)
+            code.sort()
+            first = firsts(code)
+            codes.append(code[first])
+            votes.append(np.diff(first, append=len(code)))
+        code, votes = codes[-1], votes[-1] if len(codes) <= 2 else np.concatenate(votes)
+        if len(codes) > 2:
+            code, back = np.unique(np.concatenate(codes), return_inverse=True)
+            votes = np.bincount(back, votes, len(code)).astype(np.int64)
+        owner, offset = code >> 32, (code & 0xFFFFFFFF) - MIDDLE
+        few, many = least_overlap - len(x), (self.size - least_overlap)[owner]
+        if few > 0 or (many < few).any():
+            fits = many >= few
+            owner, offset, votes, many = owner[fits], offset[fits], votes[fits], many[fits]
+        offset = np.minimum(np.maximum(offset, few), many)
+        first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (offset[1:] != offset[:-1]))[: len(owner)])
+        if len(first) < len(owner):
+            owner, offset, votes = owner[first], offset[first], np.add.reduceat(votes, first)
+        return owner, offset, votes
 
     def offsets(self, x: np.ndarray, least_overlap: int) -> tuple[np.ndarray, np.ndarray]:
         """Queries and offsets, the OFFSETS of most votes of each query (of equal votes the smaller offsets), in order."""
-        code, votes, span = self.votes(x, least_overlap)
-        owner = code // span
-        if len(code) > OFFSETS and (owner[OFFSETS:] == owner[:-OFFSETS]).any():
-            most = int(votes.max())
-            if (len(self.size) + 1) * (most + 1) * span < 1 << 62:
-                ranked = np.sort((owner * (most + 1) + (most - votes)) * span + (code - owner * span))
-                code = ranked // ((most + 1) * span) * span + ranked % span
-            else:
-                code = code[np.lexsort((code, -votes, owner))]
-            # owner has as many of each query as the ranked codes
-            rank = np.arange(len(code)) - np.searchsorted(owner, owner)
-            code = np.sort(code[rank < OFFSETS])
-            owner = code // span
-        return owner, code - owner * span + (least_overlap - len(x))
+        owner, offset, votes = self.votes(x, least_overlap)
+        if len(owner) <= OFFSETS or not (owner[OFFSETS:] == owner[:-OFFSETS]).any():
+            return owner, offset
+        least, most = int(offset.min()), int(votes.max())
+        a, b = int(offset.max() - least).bit_length(), most.bit_length()
+        first = firsts(owner)
+        rank = np.arange(len(owner)) - np.repeat(first, np.diff(first, append=len(owner)))
+        kept = rank < OFFSETS  # an owner has as many places in the order below as here
+        if len(self.size).bit_length() + a + b < 63:
+            ranked = np.sort(owner << (a + b) | (most - votes) << a | (offset - least))[kept]
+            owner, offset = ranked >> (a + b), ranked & ((1 << a) - 1)
+            code = np.sort(owner << a | offset)
+            return code >> a, (code & ((1 << a) - 1)) + least
+        chosen = np.sort(np.lexsort((offset, -votes, owner))[kept])
+        return owner[chosen], offset[chosen]
 
     def errors(self, x: np.ndarray, place: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Bits that differ between ``n`` integers of the block from ``place`` on and of x from ``at`` on."""
+        """Bits that differ between ``n`` integers of the block from ``place`` on and of x from ``at`` on: in steps of STEP integers, the last one cut."""
         out = np.zeros(len(n), np.int64)
-        for run in runs_of(n, INTEGERS_AT_ONCE) if len(n) else []:
-            m = n[run]
-            start = np.cumsum(m) - m
-            count = int(start[-1] + m[-1])
-            ramp = RAMP[:count] if count <= len(RAMP) else np.arange(count)
-            differ = self.flat.take(np.repeat(place[run] - start, m) + ramp, mode="clip")
-            differ ^= x.take(np.repeat(at[run] - start, m) + ramp, mode="clip")
-            out[run] = np.add.reduceat(np.bitwise_count(differ), start, dtype=np.int64)
+        other, every = windows(x), -(-n // STEP)
+        for run in runs_of(every, STEPS_AT_ONCE) if len(n) else []:
+            steps = every[run]
+            start = np.cumsum(steps) - steps
+            done = (np.arange(steps.sum()) - np.repeat(start, steps)) * STEP
+            differ = self.windows[np.repeat(place[run], steps) + done].view(np.uint64)
+            differ ^= other[np.repeat(at[run], steps) + done].view(np.uint64)
+            differ &= HEADS[np.minimum(np.repeat(n[run], steps) - done, STEP)].view(np.uint64)
+            # eight counts of at most 64 in a value: their sum
+            count = np.bitwise_count(differ).view(np.uint64)
+            count = (count & PAIRS) + (count >> np.uint64(8) & PAIRS)
+            count *= ONES
+            count >>= np.uint64(48)
+            out[run] = np.add.reduceat(count.view(np.int64), start)
         return out
 
     def aligned(self, x: np.ndarray, most_errors: float, least_overlap: int, own: int | None = None) -> Links:
@@ -295,14 +316,14 @@ class QueryBlock:
         errors = self.errors(x, self.start[owner] + i, j, n)
         near = np.flatnonzero(errors <= most_errors * 32 * n)
         owner, offset, n, rate = owner[near], offset[near], n[near], errors[near] / (32.0 * n[near])
+        first = firsts(owner)
         # the smallest rate of a query, of equal ones the longest overlap, then the smallest offset
         for best, k in ((np.minimum, 0), (np.maximum, 1)):
-            if len(owner):
+            if len(first) < len(owner):
                 worth = (rate, n)[k]
-                first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-                keep = worth == np.repeat(best.reduceat(worth, first), np.diff(first, append=len(owner)))
+                keep = np.flatnonzero(worth == np.repeat(best.reduceat(worth, first), np.diff(first, append=len(owner))))
                 owner, offset, n, rate = owner[keep], offset[keep], n[keep], rate[keep]
-        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)])
+                first = firsts(owner)
         return Links(rate[first], n[first], self.names[owner[first]], offset[first])
 
 
@@ -313,14 +334,10 @@ def landmarks(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     if len(x) < 4:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, places = [], []
-    for lane in range(4):
-        y = (x.astype(np.int64) >> (8 * lane)) & 255
-        key = y[:-3] << 24 | y[1:-2] << 16 | y[2:-1] << 8 | y[3:]
-        at = np.flatnonzero(key != y[:-3] * 0x01010101)
-        keys.append(key[at] | lane << 32)
-        places.append(at)
-    return np.concatenate(keys), np.concatenate(places)
+    lanes = x.astype("<u4").view(np.uint8).reshape(-1, 4).T.astype(np.int64)
+    key = lanes[:, :-3] << 24 | lanes[:, 1:-2] << 16 | lanes[:, 2:-1] << 8 | lanes[:, 3:]
+    lane, at = np.nonzero(key != lanes[:, :-3] * 0x01010101)
+    return key[lane, at] | lane << 32, at
 
 
 def align(recordings: DataFrame, id_col: str, data_col: str, is_query, most_errors: float = MOST_ERRORS, least_overlap: int = WIDTH, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
