@@ -115,8 +115,8 @@ def n5(spark, d):
 
 @query("n3_faces")
 def n3(spark, d):
-    sub = planar(spark, d).withColumn("objectid", F.concat_ws("|", "v0", "v1"))
-    return rounded(G.faces(G.graph_edges(sub, 1e-4)).groupBy("root", "face_id").agg(F.count("*").alias("n_edges"), F.first("area").alias("area")), "area")
+    sub = G.graph_edges(G.cut(planar(spark, d).select("x0", "y0", "x1", "y1")), 1e-4)  # names of vertices aren't staged
+    return rounded(G.faces(sub.withColumn("objectid", F.concat_ws("|", "v0", "v1"))).groupBy("root", "face_id").agg(F.count("*").alias("n_edges"), F.first("area").alias("area")), "area")
 
 
 @query("h9_shortest_paths", """, h2 AS (SELECT x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_, len, k FROM edges UNION ALL SELECT x1, y1, x0, y0, len, k FROM edges),

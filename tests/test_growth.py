@@ -2,13 +2,12 @@
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from borderloom.operators import cleaning as C
-from borderloom.operators import coverage, graph, matching, spatial
-from borderloom.plans.params import Params
+from borderloom.operators import coverage, graph, spatial
+from borderloom.sources.staging import cut
 
 from .test_network import areas, edges
 
@@ -48,3 +47,57 @@ def test_a_polygon_with_a_hole(spark):
     assert {r.p_id for r in spatial.points_in(points(spark, (10, 10), (50, 50), (70, 50)), land).collect()} == {0, 2}
     e = edges(spark, ("a", 0, 50, 100, 50)).withColumn("pos", F.lit(0))
     assert round(coverage.covered_ratio(e, land).first().ratio, 9) == 0.8
+
+
+@pytest.fixture
+def many_partitions(spark):
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+
+
+def roots(links):
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return {x: find(x) for x in list(up)}
+
+
+@pytest.mark.parametrize("near", [True, False])
+def test_components_over_several_blocks(spark, many_partitions, near):
+    """Paths, rings and a lone loop, in order of their places and not: nodes that are in several blocks join them."""
+    rng = random.Random(5)
+    links = [(f"n{k}", f"n{k + 1}") for k in range(200) if k % 67] + [("n0", "n66"), ("z", "z")]
+    rows = [(a, b, float(k) if near else rng.random()) for k, (a, b) in enumerate(links)]
+    got = graph.components(spark.createDataFrame(rows, "a string, b string, x double"), "a", "b", "x").collect()
+    assert {r.node: r.root for r in got} == roots(links) and len(got) == len(roots(links))
+
+
+def test_faces_of_many_components_at_once(spark):
+    """Squares with a diagonal and a tail each: the faces of one are those of all, in the order they had in a task of their own."""
+    es = [(f"{k}{n}", 100 * k + a, b, 100 * k + c, d) for k in range(30) for n, (a, b, c, d) in enumerate([(0, 0, 10, 0), (10, 0, 10, 10), (10, 10, 0, 10), (0, 10, 0, 0), (0, 0, 10, 10), (10, 10, 15, 15)])]
+    f = graph.faces(graph.graph_edges(edges(spark, *es))).toPandas()
+    assert len(f) == 2 * len(es) and f.groupby("face_id").area.first().round(6).value_counts().to_dict() == {50.0: 60, -100.0: 30}
+    for _, ring in f.sort_values("ord").groupby("face_id"):
+        assert list(ring.ord) == list(range(len(ring))) and list(ring.w) == list(ring.v[1:]) + list(ring.v[:1])
+    assert f.groupby("root").face_id.agg(lambda s: sorted({i.split("/")[1] for i in s})).map(tuple).unique().tolist() == [("0", "1", "2")]
+
+
+def test_faces_run_no_python_for_each_component(spark):
+    plan = graph.faces(graph.graph_edges(edges(spark, (1, 0, 0, 10, 0), (2, 10, 0, 10, 10))))._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "FlatMapGroupsInArrow" not in plan
+
+
+def test_estimates_do_not_grow_with_the_rounds_of_a_loop(spark):
+    df = spark.range(10)
+    for _ in range(5):
+        df = cut(df.join(df.withColumnRenamed("id", "other"), F.col("id") == F.col("other")).select("id"))
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**64 and df.count() == 10
