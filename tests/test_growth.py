@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from borderloom.operators import cleaning as C
-from borderloom.operators import coverage, graph, spatial
+from borderloom.operators import coverage, graph, matching, spatial
+from borderloom.plans.params import Params
 from borderloom.sources.staging import cut
 
 from .test_network import areas, edges
@@ -101,3 +102,33 @@ def test_estimates_do_not_grow_with_the_rounds_of_a_loop(spark):
     for _ in range(5):
         df = cut(df.join(df.withColumnRenamed("id", "other"), F.col("id") == F.col("other")).select("id"))
     assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**64 and df.count() == 10
+
+
+def test_lines_are_read_once_to_be_merged(spark, tmp_path):
+    log = str(tmp_path / "read")
+
+    def seen(batches):
+        with open(log, "a") as f:
+            f.write("x")
+        yield from batches
+
+    e = edges(spark, (1, 0, 3, 100, 3, "be"), (2, 20, -3, 120, -3, "fr"))
+    border = spark.createDataFrame([("B", -50.0, 0.0, 200.0, 0.0)], "objectid string, x0 double, y0 double, x1 double, y1 double")
+    single = matching.lines_by_country(e, border, Params()).coalesce(1)
+    got = matching.merge_lines(single.mapInArrow(seen, single.schema), e, Params()).collect()
+    assert [r.linked_feat_id for r in got] == ["1#2"] and open(log).read() == "x"
+
+
+def test_points_near_the_border_meet_few_of_its_pieces(spark, monkeypatch):
+    found = []
+    near = matching.points_near_segments
+
+    def counted(*a, **k):
+        found.append(near(*a, **k).count())
+        return near(*a, **k)
+
+    monkeypatch.setattr(matching, "points_near_segments", counted)
+    border = spark.createDataFrame([(f"B{k}", 100.0 * k, 0.0, 100.0 * k + 100, 0.0) for k in range(40)], "objectid string, x0 double, y0 double, x1 double, y1 double")
+    groups = spark.createDataFrame([(f"g{k}", "e", "be", 100.0 * k + 50, 1.0 if k else 500.0) for k in range(40)] + [("far", "e", "be", 50.0, 2000.0)], "`group` string, edge string, country string, x double, y double")
+    got = {r.objectid.removeprefix("CONNECTINGPOINT"): (r.x, r.y) for r in matching.connecting_points(groups, border).collect()}
+    assert got == {f"g{k}": (100.0 * k + 50, 0.0) for k in range(40)} and sum(found) < 100
