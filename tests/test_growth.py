@@ -132,3 +132,10 @@ def test_points_near_the_border_meet_few_of_its_pieces(spark, monkeypatch):
     groups = spark.createDataFrame([(f"g{k}", "e", "be", 100.0 * k + 50, 1.0 if k else 500.0) for k in range(40)] + [("far", "e", "be", 50.0, 2000.0)], "`group` string, edge string, country string, x double, y double")
     got = {r.objectid.removeprefix("CONNECTINGPOINT"): (r.x, r.y) for r in matching.connecting_points(groups, border).collect()}
     assert got == {f"g{k}": (100.0 * k + 50, 0.0) for k in range(40)} and sum(found) < 100
+
+
+def test_narrow_faces_are_walked_once(spark):
+    e = edges(spark, (1, 0, 0, 100, 0), (2, 0, 0, 50, -2), (3, 50, -2, 100, 0), (4, 0, 0, 0, 90), (5, 0, 90, 100, 0))
+    f = C.slim_faces(e, 10.0, Params())
+    assert "MapInArrow" not in f._jdf.queryExecution().toString()
+    assert {r.eid for r in f.collect()} == {"1", "2", "3"}
